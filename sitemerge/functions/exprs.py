@@ -70,9 +70,10 @@ def changed(pairs: list[tuple[Column, Column]]) -> Column:
 
 
 def concat_null_empty(*parts) -> Column:
-    """``CONCAT(a, ' ', b)`` as the loads mean it: NULL reads as empty text."""
-    cols = [F.lit(p) if isinstance(p, str) else F.coalesce(_c(p), F.lit("")) for p in parts]
-    return F.concat(*cols)
+    """``CONCAT(a, ' ', b)`` as the loads mean it: NULL reads as empty text.
+
+    Parts are columns or column names; pass literals as ``F.lit(...)``."""
+    return F.concat(*[F.coalesce(_c(p), F.lit("")) for p in parts])
 
 
 def discontinued_from_active(is_active) -> Column:

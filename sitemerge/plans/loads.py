@@ -129,7 +129,7 @@ def _n_region(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
 
 
 def _full(ctx: Ctx) -> Column:
-    return concat_null_empty("AddressLine1", " ", "AddressLine2")
+    return concat_null_empty("AddressLine1", F.lit(" "), "AddressLine2")
 
 
 def _u_address(ctx: Ctx) -> UpdateSpec:
@@ -226,9 +226,9 @@ def _n_customer_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
     src = lookup(src, stg_addr, [("DeliveryAddressId", "AddressId")],
                  {"_d1": "AddressLine1", "_d2": "AddressLine2"})
     site1 = ctx.state["address"].where(F.col("site_id") == 1)
-    src = lookup(src, site1, [(ctx.key(concat_null_empty("_b1", " ", "_b2")), "full_address")],
+    src = lookup(src, site1, [(ctx.key(concat_null_empty("_b1", F.lit(" "), "_b2")), "full_address")],
                  {"_bill": "ODS_address_id"})
-    src = lookup(src, site1, [(ctx.key(concat_null_empty("_d1", " ", "_d2")), "full_address")],
+    src = lookup(src, site1, [(ctx.key(concat_null_empty("_d1", F.lit(" "), "_d2")), "full_address")],
                  {"_deliv": "ODS_address_id"})
     return src.select(
         F.col("CustomerId").cast("string").alias("orig_customer_id"),
