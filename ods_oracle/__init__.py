@@ -5,6 +5,7 @@ plus IS NULL, ISNULL as COALESCE, UNION), not from the Spark plans, and run on
 the driver's raw test tables (views ``region``, ``nation``, ``customer`` ...).
 """
 
+from .checks import check_statements
 from .sql import oracle_statements
 
-__all__ = ["oracle_statements"]
+__all__ = ["check_statements", "oracle_statements"]

@@ -6,8 +6,8 @@ A global ``row_number()`` over the whole set moves every row into one task
 1. range-partition the rows by the id order and sort each partition;
 2. record partition index and position (``spark_partition_id``,
    ``monotonically_increasing_id``, whose lower 33 bits are the record number
-   inside the partition) and checkpoint once, so the sampled range bounds
-   cannot change between the two passes below;
+   inside the partition) and write that once (parquet under the checkpoint
+   folder), so the sampled range bounds cannot change between the passes;
 3. count rows per partition (one small row per partition to the driver) and
    turn the counts into starting offsets;
 4. id = start + offset of the partition + position inside it + 1, with the
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 _LOW33 = (1 << 33) - 1
 
@@ -43,7 +43,6 @@ def assign_ids(
     partitions: int | None = None,
 ) -> DataFrame:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     staged = (
@@ -51,8 +50,8 @@ def assign_ids(
         .sortWithinPartitions(*order)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)))
-        .checkpoint(eager=True)
     )
+    staged = materialize(staged, f"ids-{id_col}")
     counts = sorted(
         (r["_pid"], r["count"]) for r in staged.groupBy("_pid").count().collect()
     )

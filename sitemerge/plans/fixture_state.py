@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import typed_null
 from ..operators.upsert import new_with_ids
+from ..session import materialize
 from ..sources.targets import TABLES, empty_state
 from .loads import LOADS, ORDER, Ctx, ts_literal
 
@@ -67,5 +68,5 @@ def prior_state(spark: SparkSession, staging: dict[str, DataFrame]) -> dict[str,
         ctx = Ctx(spark, staging, state, ts_literal(PRIOR_TS))
         table = TABLES[name]
         rows = new_with_ids(empty_state(spark, table), prior_arms(ctx, name), table, start=0)
-        state[name] = rows.checkpoint(eager=True)
+        state[name] = materialize(rows, f"prior-{name}")
     return state

@@ -5,8 +5,8 @@ for two small driver round trips of KEY-ID (the current maximum id and the
 per-partition counts).  The pipeline runs the eleven loads in foreign-key
 order and publishes each table's new state before the next load reads it:
 written as a parquet snapshot under a new directory per run (a job never
-overwrites the files it reads), or, without a snapshot folder, checkpointed
-to the cluster's checkpoint folder.  Either way the lineage is cut per load
+overwrites the files it reads), or, without a snapshot folder, as parquet
+under the cluster's checkpoint folder.  Either way the lineage is cut per load
 and a lost executor only recomputes from the last published state.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.upsert import apply_update, insert, to_target
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from ..sources.targets import TABLES, empty_state
 from .loads import DEFAULT_LOAD_TS, LOADS, ORDER, Ctx, Options, ts_literal
 
@@ -66,8 +66,7 @@ def publish(df: DataFrame, name: str, snapshot_dir: str | None, run_id: str) ->
         path = os.path.join(snapshot_dir, name, f"run={run_id}")
         df.write.mode("errorifexists").parquet(path)
         return df.sparkSession.read.schema(TABLES[name].schema).parquet(path)
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df, f"state-{name}")
 
 
 def run_pipeline(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -41,3 +42,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="sitemerge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as parquet under the checkpoint folder and return a
+    DataFrame reading it back.
+
+    This cuts the lineage like ``checkpoint()`` but in one job (an eager
+    reliable checkpoint computes its input a second time to write it) and in
+    a columnar, compressed form; each call writes a new folder, so no job
+    overwrites files it reads."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/sitemerge/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
