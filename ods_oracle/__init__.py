@@ -6,6 +6,7 @@ the driver's raw test tables (views ``region``, ``nation``, ``customer`` ...).
 """
 
 from .checks import check_statements
+from .operators import operator_statements
 from .sql import oracle_statements
 
-__all__ = ["check_statements", "oracle_statements"]
+__all__ = ["check_statements", "operator_statements", "oracle_statements"]
