@@ -15,7 +15,8 @@ plan avoids that:
 
 1. group source rows by (key, comparison tuple) -> one *class* per distinct
    comparison tuple with its smallest value tuple (partial aggregation, so a
-   hot key is combined map-side);
+   hot key is combined map-side); where the source is costly (gated by large
+   ODS tables) the classes are written once, as they are read three times;
 2. per key keep the smallest class and the smallest class that differs from
    it (two more aggregations, one join on the key);
 3. join the target to that one-row-per-key summary: a target row whose own
@@ -46,6 +47,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import null_default
 from ..sources.targets import Table
+from ..session import materialize
 from .keys import assign_ids, max_id
 
 
@@ -80,6 +82,7 @@ class UpdateSpec:
     source: DataFrame  # staging rows after enrich joins and gates
     match: list  # [(source expression, target column)]
     tracks: list[Track]
+    reuse: bool = False  # materialise the per-key classes (costly source)
 
 
 def _struct(cols: list[Column], prefix: str) -> Column:
@@ -95,6 +98,10 @@ def update_summary(spec: UpdateSpec) -> DataFrame:
         _struct([t.src_cmp for t in spec.tracks], "c").alias("_c"),
     ).where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
     classes = src.groupBy(*keys, "_c").agg(F.min("_v").alias("_v"))
+    if spec.reuse:
+        # the classes are read three times below; written once, the source
+        # and its gates (joins against large ODS tables) run once
+        classes = materialize(classes, f"classes-{spec.name}")
     first = classes.groupBy(*keys).agg(F.min(F.struct("_v", "_c")).alias("_f"))
     n = len(spec.tracks)
     same_as_first = reduce(

@@ -52,6 +52,7 @@ class Ctx:
     state: dict[str, DataFrame]
     load_ts: Column
     options: Options = field(default_factory=Options)
+    empty: frozenset = frozenset()  # tables known to be empty (first run)
 
     def key(self, c) -> Column:
         return text_key(c, self.options.collation)
@@ -638,6 +639,7 @@ def _u_order_2(ctx: Ctx) -> UpdateSpec:
             track("shipping_company_phone", "_ship_phone", "text"),
             track("freight", "Freight", "price"),
         ],
+        reuse=True,
     )
 
 
@@ -722,6 +724,7 @@ def _u_order_detail_1(ctx: Ctx) -> UpdateSpec:
                          ("unit_price", "UnitPrice", "price"),
                          ("tax_rate", "TaxRate", "count"),
                          ("item_picked_date", "ItemPickedDate", "date")]),
+        reuse=True,
     )
 
 
@@ -734,6 +737,7 @@ def _u_order_detail_2(ctx: Ctx) -> UpdateSpec:
         _od_tracks(ctx, [("quantity_per_unit", "Quantity", "count"),
                          ("unit_price", "UnitPrice", "price"),
                          ("discount", "Discount", "count")]),
+        reuse=True,
     )
 
 

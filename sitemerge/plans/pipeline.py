@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import apply_update, insert, to_target
+from ..operators.upsert import apply_update, new_with_ids, to_target
 from ..session import materialize
 from ..sources.targets import TABLES, empty_state
 from .loads import DEFAULT_LOAD_TS, LOADS, ORDER, Ctx, Options, ts_literal
@@ -31,12 +31,16 @@ _ANTI_KEYS = {"address": {"orig_address_id", "full_address", "country"}}
 def run_updates(ctx: Ctx, name: str, upto: int | None = None) -> DataFrame:
     table = TABLES[name]
     state = ctx.state[name]
+    if name in ctx.empty:  # nothing to update
+        return state
     for build in LOADS[name].updates[:upto]:
         state = apply_update(state, build(ctx), table, ctx.load_ts)
     return state
 
 
-def _anti_target(ctx: Ctx, name: str, updated: DataFrame) -> DataFrame:
+def _anti_target(ctx: Ctx, name: str, updated: DataFrame) -> DataFrame | None:
+    if name in ctx.empty:  # every row is new
+        return None
     tracked = {t.target for build in LOADS[name].updates for t in build(ctx).tracks}
     keys = _ANTI_KEYS.get(name, {TABLES[name].orig_col})
     return updated if tracked & keys else ctx.state[name]
@@ -57,7 +61,8 @@ def run_load(ctx: Ctx, name: str) -> DataFrame:
     updated = run_updates(ctx, name)
     target = _anti_target(ctx, name, updated)
     arms = [a.build(ctx, target).drop("_n") for a in LOADS[name].arms]
-    return insert(updated, arms, TABLES[name])
+    start = 0 if name in ctx.empty else None
+    return updated.unionByName(new_with_ids(updated, arms, TABLES[name], start=start))
 
 
 def publish(df: DataFrame, name: str, snapshot_dir: str | None, run_id: str) -> DataFrame:
@@ -81,11 +86,16 @@ def run_pipeline(
     """PIPE-ALL: the loads in order; returns the new state of every table."""
     run_id = uuid.uuid4().hex[:12]
     state = dict(state or {})
+    empty = set()
     for name in ORDER:
-        state.setdefault(name, empty_state(spark, TABLES[name]))
+        if name not in state:
+            state[name] = empty_state(spark, TABLES[name])
+            empty.add(name)
     for name in tables or ORDER:
-        ctx = Ctx(spark, staging, state, ts_literal(load_ts), options or Options())
+        ctx = Ctx(spark, staging, state, ts_literal(load_ts), options or Options(),
+                  frozenset(empty))
         state[name] = publish(run_load(ctx, name), name, snapshot_dir, run_id)
+        empty.discard(name)
     return state
 
 
