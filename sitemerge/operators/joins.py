@@ -11,9 +11,10 @@
   inner).  Several matches multiply the row, as in the loads.
 
 Keys are given as ``(source expression, reference column)`` pairs; the source
-side may be any expression (a cast, a concatenation), which is derived as a
-column first so the join stays an equi-join (sort-merge or broadcast hash,
-chosen by Catalyst and AQE from the sizes it sees).
+side may be any expression (a cast, a concatenation): Catalyst still plans an
+equi-join on it (sort-merge or broadcast hash, chosen by Catalyst and AQE from
+the sizes it sees).  The reference keys are renamed to unique names so the
+condition never needs aliases.
 """
 
 from __future__ import annotations
@@ -32,31 +33,30 @@ def _src_col(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _prepare(src: DataFrame, ref: DataFrame, on: list[Key], take: dict[str, str] | None = None):
+def _prepare(ref: DataFrame, on: list[Key], take: dict[str, str] | None = None):
+    """Reference side with its key columns renamed to unique names, and the
+    equi-join condition against the source expressions."""
     tag = next(_seq)
-    sk = [f"_sk{tag}_{i}" for i in range(len(on))]
     rk = [f"_rk{tag}_{i}" for i in range(len(on))]
-    s = src.select("*", *[_src_col(e).alias(n) for (e, _), n in zip(on, sk)])
     cols = [F.col(r).alias(n) for (_, r), n in zip(on, rk)]
     if take:
         cols += [F.col(r).alias(out) for out, r in take.items()]
-    r = ref.select(*cols)
-    cond = [F.col(a) == F.col(b) for a, b in zip(sk, rk)]
-    return s, r, cond, sk, rk
+    cond = [_src_col(e) == F.col(n) for (e, _), n in zip(on, rk)]
+    return ref.select(*cols), cond, rk
 
 
 def new_rows(src: DataFrame, target: DataFrame | None, on: list[Key]) -> DataFrame:
     """Rows of ``src`` with no target row on the keys (J-ANTI)."""
     if target is None:
         return src
-    s, r, cond, sk, _ = _prepare(src, target, on)
-    return s.join(r, cond, "left_anti").drop(*sk)
+    r, cond, _ = _prepare(target, on)
+    return src.join(r, cond, "left_anti")
 
 
 def gate(src: DataFrame, ref: DataFrame, on: list[Key]) -> DataFrame:
     """Rows of ``src`` with at least one reference row on the keys (J-GATE)."""
-    s, r, cond, sk, _ = _prepare(src, ref, on)
-    return s.join(r, cond, "left_semi").drop(*sk)
+    r, cond, _ = _prepare(ref, on)
+    return src.join(r, cond, "left_semi")
 
 
 def lookup(
@@ -66,11 +66,11 @@ def lookup(
 
     ``how='left'`` keeps unresolved rows with NULLs; ``how='inner'`` drops
     them.  Several matches give several rows."""
-    s, r, cond, sk, rk = _prepare(src, ref, on, take)
-    return s.join(r, cond, how).drop(*sk, *rk)
+    r, cond, rk = _prepare(ref, on, take)
+    return src.join(r, cond, how).drop(*rk)
 
 
 def dropped(src: DataFrame, ref: DataFrame, on: list[Key]) -> DataFrame:
     """Rows an inner lookup loses (Q-DROP): ``src`` without a match in ``ref``."""
-    s, r, cond, sk, _ = _prepare(src, ref, on)
-    return s.join(r, cond, "left_anti").drop(*sk)
+    r, cond, _ = _prepare(ref, on)
+    return src.join(r, cond, "left_anti")

@@ -27,6 +27,27 @@ from .loads import DEFAULT_LOAD_TS, LOADS, ORDER, Ctx, Options, ts_literal
 # load tracks one of them the arms must see the updated state.
 _ANTI_KEYS = {"address": {"orig_address_id", "full_address", "country"}}
 
+# Target columns each load's updates set (fixed by the statements).
+TRACKED = {
+    "site": set(),
+    "region": {"description"},
+    "address": {"full_address", "city", "state", "postal_code"},
+    "customer": {"company_name", "contact_name", "contact_job_title", "phone"},
+    "employee": {"first_name", "last_name", "job_title", "birth_date", "hire_date",
+                 "termination_date", "phone", "email", "reports_to", "notes"},
+    "supplier": {"company_name", "contact_name", "contact_job_title", "phone", "website"},
+    "territory": {"description"},
+    "employee_territory": set(),
+    "product": {"name", "category_name", "category_description", "color", "size",
+                "quantity_per_unit", "unit_price", "wholesale_price", "units_in_stock",
+                "units_on_order", "reorder_level", "target_stock_level", "bin_location",
+                "discontinued"},
+    "order": {"order_date", "ship_date", "order_number", "required_date", "ship_via",
+              "shipping_company_phone", "freight"},
+    "order_detail": {"quantity_per_unit", "unit_price", "tax_rate", "item_picked_date",
+                     "discount"},
+}
+
 
 def run_updates(ctx: Ctx, name: str, upto: int | None = None) -> DataFrame:
     table = TABLES[name]
@@ -38,12 +59,15 @@ def run_updates(ctx: Ctx, name: str, upto: int | None = None) -> DataFrame:
     return state
 
 
+def _tracked(name: str) -> set[str]:
+    return TRACKED[name]
+
+
 def _anti_target(ctx: Ctx, name: str, updated: DataFrame) -> DataFrame | None:
     if name in ctx.empty:  # every row is new
         return None
-    tracked = {t.target for build in LOADS[name].updates for t in build(ctx).tracks}
     keys = _ANTI_KEYS.get(name, {TABLES[name].orig_col})
-    return updated if tracked & keys else ctx.state[name]
+    return updated if _tracked(name) & keys else ctx.state[name]
 
 
 def arm_rows(ctx: Ctx, name: str, arm: str) -> DataFrame:

@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # max(id) on a published state then reads parquet footers only
+        .config("spark.sql.parquet.aggregatePushdown", "true")
         .config("spark.driver.memory", os.environ.get("SITEMERGE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
