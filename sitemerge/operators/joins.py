@@ -60,13 +60,22 @@ def gate(src: DataFrame, ref: DataFrame, on: list[Key]) -> DataFrame:
 
 
 def lookup(
-    src: DataFrame, ref: DataFrame, on: list[Key], take: dict[str, str], how: str = "left"
+    src: DataFrame,
+    ref: DataFrame,
+    on: list[Key],
+    take: dict[str, str],
+    how: str = "left",
+    lowest: bool = False,
 ) -> DataFrame:
     """Add ``take`` (output name -> reference column) by matching ``on`` (J-LKP).
 
     ``how='left'`` keeps unresolved rows with NULLs; ``how='inner'`` drops
-    them.  Several matches give several rows."""
+    them.  Several matches give several rows, unless ``lowest``: then the
+    reference is first reduced to the smallest value per key (a partial
+    aggregation), so each source row gets at most one match."""
     r, cond, rk = _prepare(ref, on, take)
+    if lowest:
+        r = r.groupBy(*rk).agg(*[F.min(out).alias(out) for out in take])
     return src.join(r, cond, how).drop(*rk)
 
 

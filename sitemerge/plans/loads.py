@@ -58,6 +58,13 @@ class Ctx:
         return text_key(c, self.options.collation)
 
 
+def site_keys(ctx: Ctx, keys: list, src_site: str, tgt_site: str) -> list:
+    """Match keys of a two-site table: the source key alone as the loads
+    compare it, plus the site tag in strict mode (ids of the two sites may
+    coincide)."""
+    return keys + [(src_site, tgt_site)] if ctx.options.strict else keys
+
+
 def ts_literal(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -137,7 +144,7 @@ def _u_address(ctx: Ctx) -> UpdateSpec:
     return UpdateSpec(
         "u_address",
         ctx.stg["Stg_Address"],
-        [("AddressId", "orig_address_id")],
+        site_keys(ctx, [("AddressId", "orig_address_id")], "RecordOrigSiteId", "site_id"),
         [
             track("full_address", _full(ctx), "text"),
             track("city", "City", "text"),
@@ -148,7 +155,7 @@ def _u_address(ctx: Ctx) -> UpdateSpec:
 
 
 def _n_address_a(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
-    src = new_rows(ctx.stg["Stg_Address"], tgt, [("AddressId", "orig_address_id")])
+    src = new_rows(ctx.stg["Stg_Address"], tgt, site_keys(ctx, [("AddressId", "orig_address_id")], "RecordOrigSiteId", "site_id"))
     return src.select(
         F.col("AddressId").alias("orig_address_id"),
         _full(ctx).alias("full_address"),
@@ -194,7 +201,7 @@ def _u_customer_1(ctx: Ctx) -> UpdateSpec:
     return UpdateSpec(
         "u_customer_1",
         ctx.stg["Stg_Customer"],
-        [(F.col("CustomerId").cast("string"), "orig_customer_id")],
+        site_keys(ctx, [(F.col("CustomerId").cast("string"), "orig_customer_id")], "RecordOrigSiteId", "record_orig_site_id"),
         [
             track("company_name", "CustomerName", "text"),
             track("contact_name", "ContactName", "text"),
@@ -207,7 +214,7 @@ def _u_customer_2(ctx: Ctx) -> UpdateSpec:
     return UpdateSpec(
         "u_customer_2",
         ctx.stg["Stg_Customers"],
-        [("CustomerID", "orig_customer_id")],
+        site_keys(ctx, [("CustomerID", "orig_customer_id")], "SiteId", "record_orig_site_id"),
         [
             track("company_name", "CompanyName", "text"),
             track("contact_name", "ContactName", "text"),
@@ -219,7 +226,9 @@ def _u_customer_2(ctx: Ctx) -> UpdateSpec:
 
 def _n_customer_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
     src = new_rows(
-        ctx.stg["Stg_Customer"], tgt, [(F.col("CustomerId").cast("string"), "orig_customer_id")]
+        ctx.stg["Stg_Customer"], tgt,
+        site_keys(ctx, [(F.col("CustomerId").cast("string"), "orig_customer_id")],
+                  "RecordOrigSiteId", "record_orig_site_id"),
     )
     stg_addr = ctx.stg["Stg_Address"]
     src = lookup(src, stg_addr, [("BillingAddressId", "AddressId")],
@@ -227,10 +236,11 @@ def _n_customer_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
     src = lookup(src, stg_addr, [("DeliveryAddressId", "AddressId")],
                  {"_d1": "AddressLine1", "_d2": "AddressLine2"})
     site1 = ctx.state["address"].where(F.col("site_id") == 1)
+    one = ctx.options.strict  # strict: the lowest id when a text matches several
     src = lookup(src, site1, [(ctx.key(concat_null_empty("_b1", F.lit(" "), "_b2")), "full_address")],
-                 {"_bill": "ODS_address_id"})
+                 {"_bill": "ODS_address_id"}, lowest=one)
     src = lookup(src, site1, [(ctx.key(concat_null_empty("_d1", F.lit(" "), "_d2")), "full_address")],
-                 {"_deliv": "ODS_address_id"})
+                 {"_deliv": "ODS_address_id"}, lowest=one)
     return src.select(
         F.col("CustomerId").cast("string").alias("orig_customer_id"),
         F.col("CustomerName").alias("company_name"),
@@ -246,11 +256,11 @@ def _n_customer_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
 
 
 def _n_customer_2(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
-    src = new_rows(ctx.stg["Stg_Customers"], tgt, [("CustomerID", "orig_customer_id")])
+    src = new_rows(ctx.stg["Stg_Customers"], tgt, site_keys(ctx, [("CustomerID", "orig_customer_id")], "SiteId", "record_orig_site_id"))
     site2 = ctx.state["address"].where(F.col("site_id") == 2)
     # LEFT JOIN address ... WHERE address.site_id = 2: an inner lookup
     src = lookup(src, site2, [(ctx.key("Address"), "full_address")], {"_addr": "ODS_address_id"},
-                 how="inner")
+                 how="inner", lowest=ctx.options.strict)
     return src.select(
         F.col("CustomerID").alias("orig_customer_id"),
         F.col("CompanyName").alias("company_name"),
@@ -272,7 +282,7 @@ def _u_employee_1(ctx: Ctx) -> UpdateSpec:
     return UpdateSpec(
         "u_employee_1",
         ctx.stg["Stg_SalesPerson"],
-        [("SalesPersonId", "orig_employee_id")],
+        site_keys(ctx, [("SalesPersonId", "orig_employee_id")], "RecordOrigSiteId", "record_orig_site_id"),
         [
             track("first_name", "FirstName", "text"),
             track("last_name", "LastName", "text"),
@@ -286,7 +296,7 @@ def _u_employee_2(ctx: Ctx) -> UpdateSpec:
     return UpdateSpec(
         "u_employee_2",
         ctx.stg["Stg_Employees"],
-        [("EmployeeID", "orig_employee_id")],
+        site_keys(ctx, [("EmployeeID", "orig_employee_id")], "SiteId", "record_orig_site_id"),
         [
             track("first_name", "FirstName", "text"),
             track("last_name", "LastName", "text"),
@@ -304,7 +314,7 @@ def _u_employee_2(ctx: Ctx) -> UpdateSpec:
 
 
 def _n_employee_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
-    src = new_rows(ctx.stg["Stg_SalesPerson"], tgt, [("SalesPersonId", "orig_employee_id")])
+    src = new_rows(ctx.stg["Stg_SalesPerson"], tgt, site_keys(ctx, [("SalesPersonId", "orig_employee_id")], "RecordOrigSiteId", "record_orig_site_id"))
     return src.select(
         F.col("SalesPersonId").alias("orig_employee_id"),
         F.col("FirstName").alias("first_name"),
@@ -325,9 +335,9 @@ def _n_employee_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
 
 
 def _n_employee_2(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
-    src = new_rows(ctx.stg["Stg_Employees"], tgt, [("EmployeeID", "orig_employee_id")])
+    src = new_rows(ctx.stg["Stg_Employees"], tgt, site_keys(ctx, [("EmployeeID", "orig_employee_id")], "SiteId", "record_orig_site_id"))
     src = lookup(src, ctx.state["address"], [(ctx.key("Address"), "full_address")],
-                 {"_addr": "ODS_address_id"})
+                 {"_addr": "ODS_address_id"}, lowest=ctx.options.strict)
     return src.select(
         F.col("EmployeeID").alias("orig_employee_id"),
         F.col("FirstName").alias("first_name"),
@@ -354,7 +364,7 @@ def _u_supplier_1(ctx: Ctx) -> UpdateSpec:
     return UpdateSpec(
         "u_supplier_1",
         ctx.stg["Stg_Supplier"],
-        [("SupplierId", "orig_supplier_id")],
+        site_keys(ctx, [("SupplierId", "orig_supplier_id")], "SiteId", "site_id"),
         [
             track("company_name", "SupplierName", "text"),
             track("contact_name", "ContactName", "text"),
@@ -368,7 +378,7 @@ def _u_supplier_2(ctx: Ctx) -> UpdateSpec:
     return UpdateSpec(
         "u_supplier_2",
         ctx.stg["Stg_Suppliers"],
-        [("SupplierID", "orig_supplier_id")],
+        site_keys(ctx, [("SupplierID", "orig_supplier_id")], "SiteId", "site_id"),
         [
             track("company_name", "CompanyName", "text"),
             track("contact_name", "ContactName", "text"),
@@ -379,7 +389,7 @@ def _u_supplier_2(ctx: Ctx) -> UpdateSpec:
 
 
 def _n_supplier_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
-    src = new_rows(ctx.stg["Stg_Supplier"], tgt, [("SupplierId", "orig_supplier_id")])
+    src = new_rows(ctx.stg["Stg_Supplier"], tgt, site_keys(ctx, [("SupplierId", "orig_supplier_id")], "SiteId", "site_id"))
     src = lookup(src, ctx.state["address"], [("AddressId", "orig_address_id")],
                  {"_addr": "ODS_address_id"})
     return src.select(
@@ -397,9 +407,9 @@ def _n_supplier_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
 
 
 def _n_supplier_2(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
-    src = new_rows(ctx.stg["Stg_Suppliers"], tgt, [("SupplierID", "orig_supplier_id")])
+    src = new_rows(ctx.stg["Stg_Suppliers"], tgt, site_keys(ctx, [("SupplierID", "orig_supplier_id")], "SiteId", "site_id"))
     src = lookup(src, ctx.state["address"], [(ctx.key("Address"), "full_address")],
-                 {"_addr": "ODS_address_id"})
+                 {"_addr": "ODS_address_id"}, lowest=ctx.options.strict)
     return src.select(
         F.col("SupplierID").alias("orig_supplier_id"),
         F.col("CompanyName").alias("company_name"),
@@ -496,7 +506,7 @@ def _u_product_1(ctx: Ctx) -> UpdateSpec:
     return UpdateSpec(
         "u_product_1",
         src,
-        [("StockItemId", "orig_product_id")],
+        site_keys(ctx, [("StockItemId", "orig_product_id")], "SiteId", "site_id"),
         [
             track("name", "StockItemName", "text"),
             track("category_name", "_category", "text"),
@@ -523,7 +533,7 @@ def _u_product_2(ctx: Ctx) -> UpdateSpec:
     return UpdateSpec(
         "u_product_2",
         src,
-        [("ProductID", "orig_product_id")],
+        site_keys(ctx, [("ProductID", "orig_product_id")], "SiteId", "site_id"),
         [
             track("name", "ProductName", "text"),
             track("category_name", "_cat_name", "text"),
@@ -541,7 +551,7 @@ def _u_product_2(ctx: Ctx) -> UpdateSpec:
 
 def _n_product_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
     stg = ctx.stg
-    src = new_rows(stg["Stg_StockItem"], tgt, [("StockItemId", "orig_product_id")])
+    src = new_rows(stg["Stg_StockItem"], tgt, site_keys(ctx, [("StockItemId", "orig_product_id")], "SiteId", "site_id"))
     src = lookup(src, stg["Stg_StockItemInventory"], [("StockItemId", "StockItemID")],
                  {"_qoh": "QuantityOnHand", "_reorder": "ReorderLevel",
                   "_target": "TargetStockLevel", "_bin": "BinLocation",
@@ -576,7 +586,7 @@ def _n_product_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
 
 def _n_product_2(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
     stg = ctx.stg
-    src = new_rows(stg["Stg_Products"], tgt, [("ProductID", "orig_product_id")])
+    src = new_rows(stg["Stg_Products"], tgt, site_keys(ctx, [("ProductID", "orig_product_id")], "SiteId", "site_id"))
     src = lookup(src, stg["Stg_Categories"], [("CategoryID", "CategoryID")],
                  {"_cat_name": "CategoryName", "_cat_desc": "Description"})
     src = lookup(src, _site_suppliers(ctx, 2), [("SupplierID", "orig_supplier_id")],
@@ -613,7 +623,7 @@ def _u_order_1(ctx: Ctx) -> UpdateSpec:
     return UpdateSpec(
         "u_order_1",
         src,
-        [("OrderId", "orig_order_id")],
+        site_keys(ctx, [("OrderId", "orig_order_id")], "SiteId", "site_id"),
         [
             track("order_date", "OrderDate", "date"),
             track("ship_date", "ShipDate", "date"),
@@ -631,7 +641,7 @@ def _u_order_2(ctx: Ctx) -> UpdateSpec:
     return UpdateSpec(
         "u_order_2",
         src,
-        [("OrderID", "orig_order_id")],
+        site_keys(ctx, [("OrderID", "orig_order_id")], "SiteId", "site_id"),
         [
             track("order_date", "OrderDate", "date"),
             track("required_date", "RequiredDate", "date"),
@@ -645,7 +655,7 @@ def _u_order_2(ctx: Ctx) -> UpdateSpec:
 
 def _n_order_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
     stg, state = ctx.stg, ctx.state
-    src = new_rows(stg["Stg_OrderHeader"], tgt, [("OrderId", "orig_order_id")])
+    src = new_rows(stg["Stg_OrderHeader"], tgt, site_keys(ctx, [("OrderId", "orig_order_id")], "SiteId", "site_id"))
     src = lookup(src, state["customer"], [(F.col("CustomerId").cast("string"), "orig_customer_id")],
                  {"_cust": "ODS_customer_id"})
     emp1 = state["employee"].where(F.col("record_orig_site_id") == 1)
@@ -677,7 +687,7 @@ def _n_order_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
 
 def _n_order_2(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
     stg, state = ctx.stg, ctx.state
-    src = new_rows(stg["Stg_Orders"], tgt, [("OrderID", "orig_order_id")])
+    src = new_rows(stg["Stg_Orders"], tgt, site_keys(ctx, [("OrderID", "orig_order_id")], "SiteId", "site_id"))
     src = lookup(src, stg["Stg_Shippers"], [("ShipVia", "ShipperID")],
                  {"_ship_name": "CompanyName", "_ship_phone": "Phone"})
     src = lookup(src, state["customer"], [("CustomerID", "orig_customer_id")],
@@ -687,7 +697,7 @@ def _n_order_2(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
                  how="inner")
     src = lookup(src, state["address"],
                  [(ctx.key("ShipAddress"), "full_address"), ("ShipCountry", "country")],
-                 {"_addr": "ODS_address_id"})
+                 {"_addr": "ODS_address_id"}, lowest=ctx.options.strict)
     return src.select(
         F.col("OrderID").alias("orig_order_id"),
         F.col("_cust").alias("ODS_customer_id"),
@@ -719,7 +729,7 @@ def _u_order_detail_1(ctx: Ctx) -> UpdateSpec:
     return UpdateSpec(
         "u_order_detail_1",
         src,
-        [("OrderLineId", "orig_order_detail_id")],
+        site_keys(ctx, [("OrderLineId", "orig_order_detail_id")], "SiteId", "site_id"),
         _od_tracks(ctx, [("quantity_per_unit", "Quantity", "count"),
                          ("unit_price", "UnitPrice", "price"),
                          ("tax_rate", "TaxRate", "count"),
@@ -729,16 +739,25 @@ def _u_order_detail_1(ctx: Ctx) -> UpdateSpec:
 
 
 def _u_order_detail_2(ctx: Ctx) -> UpdateSpec:
-    src = _gate_order_product(ctx, ctx.stg["Stg_OrderDetails"], "OrderID", "ProductID")
-    return UpdateSpec(
-        "u_order_detail_2",
-        src,
-        [("OrderID", "orig_order_detail_id")],
-        _od_tracks(ctx, [("quantity_per_unit", "Quantity", "count"),
-                         ("unit_price", "UnitPrice", "price"),
-                         ("discount", "Discount", "count")]),
-        reuse=True,
-    )
+    items = [("quantity_per_unit", "Quantity", "count"), ("unit_price", "UnitPrice", "price"),
+             ("discount", "Discount", "count")]
+    if ctx.options.strict:
+        # strict: a line is (order, site, product); one source row per line
+        src = gate(ctx.stg["Stg_OrderDetails"], ctx.state["order"],
+                   [("OrderID", "orig_order_id"), ("SiteId", "site_id")])
+        src = lookup(src, ctx.state["product"], [("ProductID", "orig_product_id"), ("SiteId", "site_id")],
+                     {"_product": "ODS_product_id"}, how="inner", lowest=True)
+        src = _one_per_key(src, ["OrderID", "SiteId", "_product"], ["Quantity", "UnitPrice", "Discount"])
+        match = [("OrderID", "orig_order_detail_id"), ("SiteId", "site_id"), ("_product", "ODS_product_id")]
+    else:
+        src = _gate_order_product(ctx, ctx.stg["Stg_OrderDetails"], "OrderID", "ProductID")
+        match = [("OrderID", "orig_order_detail_id")]
+    return UpdateSpec("u_order_detail_2", src, match, _od_tracks(ctx, items), reuse=True)
+
+
+def _one_per_key(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """The smallest value tuple per key (NULLs first): a partial aggregation."""
+    return df.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_m")).select(*keys, "_m.*")
 
 
 def _od_tracks(ctx: Ctx, items) -> list:
@@ -758,12 +777,22 @@ def _od_tracks(ctx: Ctx, items) -> list:
 
 def _order_detail_arm(driver, line_key, order_col, product_col, tax, picked, discount):
     def build(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
-        src = new_rows(ctx.stg[driver], tgt, [(line_key, "orig_order_detail_id")])
+        strict_line = ctx.options.strict and driver == "Stg_OrderDetails"
+        src = ctx.stg[driver]
+        if not strict_line:
+            src = new_rows(src, tgt,
+                           site_keys(ctx, [(line_key, "orig_order_detail_id")], "SiteId", "site_id"))
         src = lookup(src, ctx.state["order"], [(order_col, "orig_order_id"), ("SiteId", "site_id")],
-                     {"_order": "ODS_order_id"})
+                     {"_order": "ODS_order_id"}, lowest=ctx.options.strict)
         src = lookup(src, ctx.state["product"],
                      [(product_col, "orig_product_id"), ("SiteId", "site_id")],
-                     {"_product": "ODS_product_id"})
+                     {"_product": "ODS_product_id"}, lowest=ctx.options.strict)
+        if strict_line:
+            # strict: a line is (order, site, product), one source row per line
+            src = new_rows(src, tgt, [(line_key, "orig_order_detail_id"), ("SiteId", "site_id"),
+                                      ("_product", "ODS_product_id")])
+            src = _one_per_key(src, [line_key, "SiteId", "_order", "_product"],
+                               ["Quantity", "UnitPrice", discount])
         return src.select(
             F.col(line_key).alias("orig_order_detail_id"),
             F.col("_order").alias("ODS_order_id"),

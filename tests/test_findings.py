@@ -155,3 +155,38 @@ def test_long_customer_id_reported(spark):
     rep = {r["column_name"]: r for r in check_length(full, table).collect()}
     assert rep["orig_customer_id"]["over_width"] == 1
     assert rep["orig_customer_id"]["max_length"] == 6
+
+
+def test_later_line_inserted_and_settled_in_strict_mode(spark):
+    st = _od_state(spark, None)
+    st["order_detail"] = spark.createDataFrame(
+        [(1, 9, 1, 1, 3, Decimal(10), None, None, Decimal(0), T1, None, 2)],
+        TABLES["order_detail"].schema)
+    st["order"] = spark.createDataFrame([(1, 9) + (None,) * 10 + (T1, None, 2)], TABLES["order"].schema)
+    st["product"] = spark.createDataFrame([(1, 5) + (None,) * 15 + (T1, None, 2),
+                                           (2, 6) + (None,) * 15 + (T1, None, 2)],
+                                          TABLES["product"].schema)
+    lines = [(9, 5, 3, Decimal("10.00"), Decimal("0.00"), 2), (9, 6, 4, Decimal("12.00"), None, 2),
+             (9, 6, 5, Decimal("12.00"), None, 2)]
+    s = stg(spark, Stg_OrderDetails=lines)
+    first, second = run_twice(spark, s, st, "order_detail", strict=True)
+    assert first.count() == 2  # the product-6 line is new; its two source rows give one
+    assert second.count() == 2
+    assert second.where(F.col("last_update").isNotNull()).count() == 0
+
+
+def test_site_clash_kept_apart_in_strict_mode(spark):
+    st = state(spark, supplier=[_supplier_row(1, 7, 1, "old"), _supplier_row(2, 7, 2, "old")])
+    s1 = [(7, "A", None, None, None, 7, 1)]
+    s2 = [(7, "B", None, None, None, None, None, None, None, None, 2)]
+    out = run_load(ctx(spark, stg(spark, Stg_Supplier=s1, Stg_Suppliers=s2), st, strict=True),
+                   "supplier")
+    assert sorted((r["site_id"], r["company_name"]) for r in out.collect()) == [(1, "A"), (2, "B")]
+
+
+def test_address_fanout_lowest_id_in_strict_mode(spark):
+    st = state(spark, address=[_addr(1, "Dock 1", "N"), _addr(2, "Dock 1", "N")],
+               employee=[(1, 4) + (None,) * 11 + (T1, None, 2)])
+    orders = [(50, "3", 4, T1, T1, 0, None, "Dock 1", "c", "r", "p", "N", 2)]
+    out = run_load(ctx(spark, stg(spark, Stg_Orders=orders), st, strict=True), "order")
+    assert [r["ODS_address_id"] for r in out.collect()] == [1]
