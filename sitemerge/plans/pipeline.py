@@ -106,9 +106,13 @@ def run_pipeline(
     options: Options | None = None,
     snapshot_dir: str | None = None,
     tables: list[str] | None = None,
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
-    """PIPE-ALL: the loads in order; returns the new state of every table."""
-    run_id = uuid.uuid4().hex[:12]
+    """PIPE-ALL: the loads in order; returns the new state of every table.
+
+    With ``snapshot_dir`` each loaded table's new state is written to
+    ``<snapshot_dir>/<table>/run=<run_id>``."""
+    run_id = run_id or uuid.uuid4().hex[:12]
     state = dict(state or {})
     empty = set()
     for name in ORDER:
