@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 
 _seq = count()
 
-Key = tuple  # (source Column | str, reference column name)
+# (source Column | str, reference column name[, "null_safe"]): a key part
+# marked null_safe matches NULL to NULL (<=>); all others use =.
+Key = tuple
 
 
 def _src_col(x) -> Column:
@@ -38,10 +40,14 @@ def _prepare(ref: DataFrame, on: list[Key], take: dict[str, str] | None = None):
     equi-join condition against the source expressions."""
     tag = next(_seq)
     rk = [f"_rk{tag}_{i}" for i in range(len(on))]
-    cols = [F.col(r).alias(n) for (_, r), n in zip(on, rk)]
+    cols = [F.col(k[1]).alias(n) for k, n in zip(on, rk)]
     if take:
         cols += [F.col(r).alias(out) for out, r in take.items()]
-    cond = [_src_col(e) == F.col(n) for (e, _), n in zip(on, rk)]
+    cond = [
+        _src_col(k[0]).eqNullSafe(F.col(n)) if len(k) > 2 and k[2] == "null_safe"
+        else _src_col(k[0]) == F.col(n)
+        for k, n in zip(on, rk)
+    ]
     return ref.select(*cols), cond, rk
 
 

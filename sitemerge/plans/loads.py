@@ -724,8 +724,33 @@ def _gate_order_product(ctx: Ctx, src: DataFrame, order_col: str, product_col: s
     return gate(src, ctx.state["product"], [(product_col, "orig_product_id"), ("SiteId", "site_id")])
 
 
+# Line keys of the order-line staging tables in strict mode: site 1 lines by
+# their line id, site 2 lines (whose "line id" is the order id) by order and
+# product.
+_STRICT_LINE_KEYS = {
+    "Stg_OrderLine": ["OrderLineId", "SiteId"],
+    "Stg_OrderDetails": ["OrderID", "SiteId", "ProductID"],
+}
+
+
+def _lines(ctx: Ctx, driver: str) -> DataFrame:
+    """The order-line staging rows; in strict mode first reduced to one row
+    per line key (the smallest tuple of the other columns, NULLs first), so
+    the update and the insert see the same single row of a line."""
+    df = ctx.stg[driver]
+    if not ctx.options.strict:
+        return df
+    keys = _STRICT_LINE_KEYS[driver]
+    return _one_per_key(df, keys, [c for c in df.columns if c not in keys])
+
+
+def _one_per_key(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """The smallest value tuple per key (NULLs first): a partial aggregation."""
+    return df.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_m")).select(*keys, "_m.*")
+
+
 def _u_order_detail_1(ctx: Ctx) -> UpdateSpec:
-    src = _gate_order_product(ctx, ctx.stg["Stg_OrderLine"], "OrderId", "StockItemId")
+    src = _gate_order_product(ctx, _lines(ctx, "Stg_OrderLine"), "OrderId", "StockItemId")
     return UpdateSpec(
         "u_order_detail_1",
         src,
@@ -741,25 +766,19 @@ def _u_order_detail_1(ctx: Ctx) -> UpdateSpec:
 def _u_order_detail_2(ctx: Ctx) -> UpdateSpec:
     items = [("quantity_per_unit", "Quantity", "count"), ("unit_price", "UnitPrice", "price"),
              ("discount", "Discount", "count")]
+    src = _lines(ctx, "Stg_OrderDetails")
     if ctx.options.strict:
-        # strict: a line is (order, site, product); one source row per line
-        src = gate(ctx.stg["Stg_OrderDetails"], ctx.state["order"],
-                   [("OrderID", "orig_order_id"), ("SiteId", "site_id")])
+        # strict: a line is (order, site, product)
+        src = gate(src, ctx.state["order"], [("OrderID", "orig_order_id"), ("SiteId", "site_id")])
         src = lookup(src, ctx.state["product"], [("ProductID", "orig_product_id"), ("SiteId", "site_id")],
                      {"_product": "ODS_product_id"}, how="inner", lowest=True)
-        src = _one_per_key(src, ["OrderID", "SiteId", "_product"], ["Quantity", "UnitPrice", "Discount"])
         match = [("OrderID", "orig_order_detail_id"), ("SiteId", "site_id"), ("_product", "ODS_product_id")]
     else:
-        src = _gate_order_product(ctx, ctx.stg["Stg_OrderDetails"], "OrderID", "ProductID")
+        src = _gate_order_product(ctx, src, "OrderID", "ProductID")
         match = [("OrderID", "orig_order_detail_id")]
     return UpdateSpec("u_order_detail_2", src, match, _od_tracks(ctx, items), reuse=True)
 
 
-def _one_per_key(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """The smallest value tuple per key (NULLs first): a partial aggregation."""
-    return df.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_m")).select(*keys, "_m.*")
-
-
 def _od_tracks(ctx: Ctx, items) -> list:
     out = []
     for target, source, kind in items:
@@ -777,9 +796,10 @@ def _od_tracks(ctx: Ctx, items) -> list:
 
 def _order_detail_arm(driver, line_key, order_col, product_col, tax, picked, discount):
     def build(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
-        strict_line = ctx.options.strict and driver == "Stg_OrderDetails"
-        src = ctx.stg[driver]
-        if not strict_line:
+        # strict site 2: a line is (order, site, product), matched after the lookup
+        by_product = ctx.options.strict and driver == "Stg_OrderDetails"
+        src = _lines(ctx, driver)
+        if not by_product:
             src = new_rows(src, tgt,
                            site_keys(ctx, [(line_key, "orig_order_detail_id")], "SiteId", "site_id"))
         src = lookup(src, ctx.state["order"], [(order_col, "orig_order_id"), ("SiteId", "site_id")],
@@ -787,12 +807,10 @@ def _order_detail_arm(driver, line_key, order_col, product_col, tax, picked, dis
         src = lookup(src, ctx.state["product"],
                      [(product_col, "orig_product_id"), ("SiteId", "site_id")],
                      {"_product": "ODS_product_id"}, lowest=ctx.options.strict)
-        if strict_line:
-            # strict: a line is (order, site, product), one source row per line
+        if by_product:
+            # an unresolved product still names the line: NULL matches NULL
             src = new_rows(src, tgt, [(line_key, "orig_order_detail_id"), ("SiteId", "site_id"),
-                                      ("_product", "ODS_product_id")])
-            src = _one_per_key(src, [line_key, "SiteId", "_order", "_product"],
-                               ["Quantity", "UnitPrice", discount])
+                                      ("_product", "ODS_product_id", "null_safe")])
         return src.select(
             F.col(line_key).alias("orig_order_detail_id"),
             F.col("_order").alias("ODS_order_id"),

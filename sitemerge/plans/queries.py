@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.upsert import to_target
+from ..session import session_key
 from ..sources.fixtures import derive_staging
 from ..sources.targets import TABLES
 from .fixture_state import prior_state
@@ -26,7 +27,7 @@ _CACHE: dict[tuple, dict] = {}
 def fixture(spark: SparkSession, sf_dir: str) -> dict:
     """Staging, prior state and (filled lazily) each table's state after its
     load, for one directory of test tables; built once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _CACHE:
         stg = derive_staging(spark, sf_dir)
         _CACHE[key] = {"stg": stg, "prior": prior_state(spark, stg), "after": {}}

@@ -27,17 +27,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure reliable checkpoints have a folder and return it.
+    """The shared folder for checkpoints and materialised intermediates.
 
     The folder the cluster names in ``spark.checkpoint.dir`` is used when set.
     Only a local session without that setting (tests) gets a folder of its
-    own; on a cluster a machine-local folder would lose checkpoints with the
+    own; on a cluster a machine-local folder would lose data with the
     executor, so there it is an error."""
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext
+        sc = None
+    if sc is None:
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
@@ -46,6 +53,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def session_key(spark: SparkSession) -> str:
+    """An id of the running application (to cache per session)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as parquet under the checkpoint folder and return a
     DataFrame reading it back.

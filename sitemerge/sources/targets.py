@@ -359,3 +359,20 @@ TABLES: dict[str, Table] = {
 
 def empty_state(spark, table: Table):
     return spark.createDataFrame([], table.schema)
+
+
+def create_table_sql(table: Table, name: str | None = None, location: str | None = None) -> str:
+    """``CREATE TABLE ... USING parquet`` for a target table (SNK-DDL).
+
+    Text columns with a width become ``VARCHAR(n)``, which Spark enforces when
+    writing into the table (an over-long value fails the write, as in the
+    source database); keys are documented in the comment, as parquet tables
+    hold no constraints."""
+    cols = []
+    for c in table.cols:
+        typ = f"VARCHAR({c.width})" if c.width else c.dtype.simpleString().upper()
+        cols.append(f"  `{c.name}` {typ}")
+    loc = f"\nLOCATION '{location}'" if location else ""
+    pk = ", ".join(table.pk)
+    return (f"CREATE TABLE IF NOT EXISTS `{name or table.name}` (\n" + ",\n".join(cols) +
+            f"\n) USING parquet{loc}\nCOMMENT 'primary key ({pk})'")
