@@ -56,3 +56,24 @@ def test_create_table_sql(spark, tmp_path):
     cols = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE ods_customer_ddl").collect()}
     assert cols["orig_customer_id"] == "varchar(5)"
     spark.sql("DROP TABLE ods_customer_ddl")
+
+
+def test_reads_declares_every_table_a_load_uses(spark):
+    from sitemerge.plans.loads import Ctx, ts_literal
+    from sitemerge.plans.pipeline import READS, run_load
+    from sitemerge.sources.targets import empty_state
+
+    stg = derive_staging(spark, SMALL)
+    for name in ORDER:
+        allowed = {t: empty_state(spark, TABLES[t]) for t in [name, *READS[name]]}
+        ctx = Ctx(spark, stg, allowed, ts_literal("2024-11-24 00:00:00"))
+        run_load(ctx, name)  # a KeyError here means an undeclared read
+
+
+def test_parallel_levels_equal_serial_order(spark):
+    stg = derive_staging(spark, SMALL)
+    par = run_pipeline(spark, stg, parallel=True)
+    ser = run_pipeline(spark, stg, parallel=False)
+    for name in ORDER:
+        a, b = par[name], ser[name]
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
