@@ -11,6 +11,8 @@ The site table holds site 1 only.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from ..operators.upsert import new_with_ids
 from ..session import materialize
 from ..sources.targets import TABLES, empty_state
 from .loads import LOADS, ORDER, Ctx, ts_literal
+from .pipeline import levels
 
 PRIOR_TS = "2024-01-01 00:00:00"
 
@@ -63,10 +66,19 @@ def prior_arms(ctx: Ctx, name: str) -> list[DataFrame]:
 
 
 def prior_state(spark: SparkSession, staging: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """All eleven prior tables, built level by level (independent tables of a
+    level from driver threads at once)."""
     state: dict[str, DataFrame] = {}
-    for name in ORDER:
-        ctx = Ctx(spark, staging, state, ts_literal(PRIOR_TS))
+
+    def one(name: str, parents: dict) -> DataFrame:
+        ctx = Ctx(spark, staging, parents, ts_literal(PRIOR_TS))
         table = TABLES[name]
         rows = new_with_ids(empty_state(spark, table), prior_arms(ctx, name), table, start=0)
-        state[name] = materialize(rows, f"prior-{name}")
+        return materialize(rows, f"prior-{name}")
+
+    for level in levels(ORDER):
+        frozen = dict(state)
+        with ThreadPoolExecutor(max_workers=len(level)) as pool:
+            futures = {n: pool.submit(one, n, frozen) for n in level}
+            state.update({n: f.result() for n, f in futures.items()})
     return state

@@ -10,6 +10,7 @@ shared by the queries.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,7 +20,7 @@ from ..sources.fixtures import derive_staging
 from ..sources.targets import TABLES
 from .fixture_state import prior_state
 from .loads import DEFAULT_LOAD_TS, LOADS, ORDER, Ctx, Options, ts_literal
-from .pipeline import arm_rows, pipeline_counts, publish, run_load, run_updates
+from .pipeline import READS, arm_rows, levels, pipeline_counts, publish, run_load, run_updates
 
 _CACHE: dict[tuple, dict] = {}
 
@@ -45,10 +46,22 @@ def context(spark: SparkSession, sf_dir: str, name: str, options: Options | None
 
 
 def after_load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table's state after its load (parents loaded first, the loads of
+    one level from driver threads at once); computed once per session."""
     fx = fixture(spark, sf_dir)
     if name not in fx["after"]:
-        df = run_load(context(spark, sf_dir, name), name)
-        fx["after"][name] = publish(df, name, None, "")
+        needed, stack = set(), [name]
+        while stack:
+            t = stack.pop()
+            if t not in needed and t not in fx["after"]:
+                needed.add(t)
+                stack.extend(READS[t])
+        for level in levels([t for t in ORDER if t in needed]):
+            ctxs = {t: context(spark, sf_dir, t) for t in level}
+            with ThreadPoolExecutor(max_workers=len(level)) as pool:
+                futures = {t: pool.submit(lambda t=t: publish(run_load(ctxs[t], t), t, None, ""))
+                           for t in level}
+                fx["after"].update({t: f.result() for t, f in futures.items()})
     return fx["after"][name]
 
 
