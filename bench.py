@@ -4,7 +4,9 @@ Prints one JSON line.  Environment: ``BENCH_SF_DIR`` (default
 /root/testdata/sf0.1), ``BENCH_CPUS`` (default 8).
 
 Timed items (seconds, each materialised with a count):
-* ``pipeline_first``   all eleven loads on an empty ODS;
+* ``pipeline_first``   all eleven loads on an empty ODS (states published
+                       bucketed by source key, ``BENCH_BUCKETS``, default the
+                       shuffle partition count; 0 for plain parquet);
 * ``pipeline_rerun``   all eleven loads again on the result (little changes);
 * ``prior_state``      the test fixture state (a load of 80% of the rows);
 * ``load_<table>``     one table's load on the prior state, parents loaded;
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import Window  # noqa: E402
 
 from sitemerge.operators.keys import assign_ids  # noqa: E402
+from sitemerge.plans.loads import Options  # noqa: E402
 from sitemerge.plans.pipeline import run_pipeline  # noqa: E402
 from sitemerge.plans.queries import after_load, fixture  # noqa: E402
 from sitemerge.session import ensure_checkpoint_dir, local_session, materialize  # noqa: E402
@@ -56,9 +59,13 @@ def main() -> None:
     def whole(state):
         return {k: v.count() for k, v in state.items()}
 
-    first, times["pipeline_first"] = timed(lambda: run_pipeline(spark, stg))
+    # states published bucketed by their source key (as many buckets as
+    # shuffle partitions): the rerun's update and anti joins do not shuffle them
+    buckets = int(os.environ.get("BENCH_BUCKETS", spark.conf.get("spark.sql.shuffle.partitions")))
+    opts = Options(buckets=buckets or None)
+    first, times["pipeline_first"] = timed(lambda: run_pipeline(spark, stg, options=opts))
     counts_first = whole(first)
-    second, times["pipeline_rerun"] = timed(lambda: run_pipeline(spark, stg, first))
+    second, times["pipeline_rerun"] = timed(lambda: run_pipeline(spark, stg, first, options=opts))
     counts_second = whole(second)
 
     fx, times["prior_state"] = timed(lambda: fixture(spark, sf_dir))
@@ -86,6 +93,7 @@ def main() -> None:
         "rows_after_rerun": counts_second,
         "assign_ids_mismatches": id_mismatch,
         "cpus": cpus,
+        "state_buckets": buckets,
     }
     print(json.dumps(out))
     spark.stop()

@@ -39,10 +39,13 @@ class Options:
     ``strict=True`` repairs the findings that make re-runs unsafe:
     NULL address texts are not inserted again and again, and change tests
     compare after the narrowing cast the target applies.
-    ``collation`` names a Spark collation for text join keys (None: bytes)."""
+    ``collation`` names a Spark collation for text join keys (None: bytes).
+    ``buckets`` publishes each state bucketed by its source key, so the next
+    run joins it on that key without shuffling it."""
 
     strict: bool = False
     collation: str | None = None
+    buckets: int | None = None  # publish states bucketed by their source key
 
 
 @dataclass

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.upsert import apply_update, new_with_ids, to_target
-from ..session import materialize
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources.targets import TABLES, empty_state
 from .loads import DEFAULT_LOAD_TS, LOADS, ORDER, Ctx, Options, ts_literal
 
@@ -90,12 +90,31 @@ def run_load(ctx: Ctx, name: str) -> DataFrame:
     return updated.unionByName(new_with_ids(updated, arms, TABLES[name], start=start))
 
 
-def publish(df: DataFrame, name: str, snapshot_dir: str | None, run_id: str) -> DataFrame:
-    """Materialise a new table state and return a DataFrame reading it."""
+def publish(df: DataFrame, name: str, snapshot_dir: str | None, run_id: str,
+            buckets: int | None = None) -> DataFrame:
+    """Materialise a new table state and return a DataFrame reading it.
+
+    With ``buckets`` a table with a source key is written bucketed (and
+    sorted) by that key, as an external catalog table over the snapshot
+    folder: the next run's update join and anti-join on the key then read it
+    already partitioned, and only the (small) staging side is shuffled."""
+    table = TABLES[name]
+    if buckets and table.orig_col:
+        spark = df.sparkSession
+        base = (os.path.join(snapshot_dir, name) if snapshot_dir
+                else f"{ensure_checkpoint_dir(spark).rstrip('/')}/sitemerge/state-{name}")
+        tag = run_id or uuid.uuid4().hex[:12]
+        path = f"{base.rstrip('/')}/run={tag}"
+        catalog_name = f"sitemerge_{name}_{tag}_{uuid.uuid4().hex[:6]}"
+        (df.repartition(buckets, table.orig_col)
+         .write.mode("errorifexists").option("path", path)
+         .bucketBy(buckets, table.orig_col).sortBy(table.orig_col)
+         .saveAsTable(catalog_name))
+        return spark.table(catalog_name)
     if snapshot_dir:
         path = os.path.join(snapshot_dir, name, f"run={run_id}")
         df.write.mode("errorifexists").parquet(path)
-        return df.sparkSession.read.schema(TABLES[name].schema).parquet(path)
+        return df.sparkSession.read.schema(table.schema).parquet(path)
     return materialize(df, f"state-{name}")
 
 
@@ -159,7 +178,8 @@ def run_pipeline(
     def one(name: str, frozen_state: dict, frozen_empty: frozenset) -> DataFrame:
         ctx = Ctx(spark, staging, frozen_state, ts_literal(load_ts), options or Options(),
                   frozen_empty)
-        return publish(run_load(ctx, name), name, snapshot_dir, run_id)
+        return publish(run_load(ctx, name), name, snapshot_dir, run_id,
+                       (options or Options()).buckets)
 
     for level in (levels(todo) if parallel else [[n] for n in todo]):
         frozen_state, frozen_empty = dict(state), frozenset(empty)

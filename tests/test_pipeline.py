@@ -77,3 +77,22 @@ def test_parallel_levels_equal_serial_order(spark):
     for name in ORDER:
         a, b = par[name], ser[name]
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_bucketed_state_is_not_shuffled_for_the_update(spark):
+    from sitemerge.plans.loads import Ctx, ts_literal
+    from sitemerge.plans.pipeline import run_updates
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stg = derive_staging(spark, SMALL)
+    opts = Options(buckets=n)
+    first = run_pipeline(spark, stg, options=opts, tables=["order", "order_detail"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with a large summary
+    try:
+        ctx = Ctx(spark, stg, first, ts_literal("2024-11-25 00:00:00"), opts)
+        plan = run_updates(ctx, "order_detail")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange hashpartitioning(orig_order_detail_id" not in plan
+    assert "SortMergeJoin" in plan
