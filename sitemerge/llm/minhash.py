@@ -14,11 +14,11 @@ every shingle, several times the input.
    a probability equal to their weighted Jaccard similarity.
 3. Every member of a bucket is verified against the bucket's smallest and largest
    ids.  Links make components.
-4. Buckets that still hold several components go on: the two ids are put aside
-   and the next smallest and largest are taken, until the pairs left in all
-   buckets are no more than a few per document; then these are all verified.
-   So any two documents that share a bucket are verified or are connected by
-   verified links already.
+4. Buckets that still hold several components are finished in tiles: members
+   outside the bucket's largest component, in blocks, meet all members, in blocks,
+   and a matrix product verifies a tile at once.  A tile returns an edge per linked
+   document, not its pairs.  So any two documents that share a bucket are verified
+   or are connected by verified links already; no bucket is capped.
 
 Defined results: a document is a doc_id; rows with the same id share its class
 (their texts' links are united).  Documents without words (null, empty, only
@@ -53,7 +53,8 @@ class MinHashParams:
     bands: int = 16
     rows: int = 4
     seed: int = 0
-    exhaust: int = 4  # pairs per document that may be left for the last round
+    outer_rows: int = 256  # documents of a tile: outside the largest component
+    inner_rows: int = 1024  # and of the whole bucket
 
     @property
     def samples(self) -> int:
@@ -82,10 +83,10 @@ def idf_table(counts: np.ndarray, documents: int) -> np.ndarray:
     return (np.log((documents + 1) / (counts + 1)) + 1).astype(np.float32)
 
 
-def weighted_shingles(words: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct shingle hashes, weights) of a document's word hashes."""
+def counted_shingles(words: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct shingle hashes, counts, idf) of a document's word hashes."""
     if not len(words):
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.float32)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0)
     k = min(k, len(words))
     n = len(words) - k + 1
     sums = np.concatenate([[0.0], np.cumsum(idf[word_bucket(words)], dtype=np.float64)])
@@ -97,7 +98,13 @@ def weighted_shingles(words: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.nd
             h ^= h >> np.uint64(32)
     keys, first, count = np.unique(h, return_index=True, return_counts=True)
     # rounded, so that the order of a sum can't tell equal shingles apart
-    return keys, np.round(count * mean[first], 4).astype(np.float32)
+    return keys, count, np.round(mean[first], 4)
+
+
+def weighted_shingles(words: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct shingle hashes, weights) of a document's word hashes."""
+    keys, count, each = counted_shingles(words, idf, k)
+    return keys, (count * each).astype(np.float32)
 
 
 def weighted_jaccard(a: tuple, b: tuple) -> float:
@@ -222,57 +229,106 @@ def _links(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, p: MinHashParams
     return both.mapInArrow(lambda it: _verified(it, idf, p), "a long, b long")
 
 
-def _pairs(rows: DataFrame, ends: list[str]) -> DataFrame:
-    """Distinct pairs (a > b) of members of different components with the ``ends``."""
-    other = F.explode(F.array_distinct(F.array(*[F.struct(F.col(e).alias("doc_id"), F.col(f"{e}_c").alias("c"))
-                                                 for e in ends])))
-    return rows.withColumn("_e", other).where("_e.c != component").select(
-        F.greatest("doc_id", "_e.doc_id").alias("a"), F.least("doc_id", "_e.doc_id").alias("b")).distinct()
-
-
-def _labelled(members: DataFrame, comps: DataFrame | None) -> DataFrame:
-    if comps is None:
-        return members.withColumn("component", F.col("doc_id"))
-    return members.drop("component").join(comps, F.col("doc_id") == F.col("vertex"), "left").select(
+def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:
+    return members.join(comps, F.col("doc_id") == F.col("vertex"), "left").select(
         "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
 
 
-def link_buckets(members: DataFrame, texts: DataFrame, idf: np.ndarray, p: MinHashParams,
-                 documents: int) -> DataFrame:
+def _shares(parts: list[tuple], rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Sum of minima of the weights of documents ``rows`` with documents ``cols``.
+
+    A weight is count x idf, so a minimum is a sum over levels 1, 2, ... of idf
+    where both counts reach the level: a matrix product over (shingle, level)."""
+    own, key, weight = [], [], []
+    for d, (keys, counts, idf) in enumerate(parts):
+        for level in range(1, int(counts.max(initial=0)) + 1):
+            at = counts >= level
+            with np.errstate(over="ignore"):
+                key.append(keys[at] + np.uint64(level) * np.uint64(0xC2B2AE3D27D4EB4F))
+            weight.append(idf[at])
+            own.append(np.full(int(at.sum()), d))
+    own, key, weight = np.concatenate(own), np.concatenate(key), np.concatenate(weight)
+    names, where, held = np.unique(key, return_inverse=True, return_counts=True)
+    keep = held[where] > 1  # a feature of one document is shared with none
+    order = np.flatnonzero(keep)[np.argsort(where[keep], kind="stable")]
+    own, weight = own[order], weight[order]
+    _, where = np.unique(where[order], return_inverse=True)
+    out = np.zeros((len(rows), len(cols)))
+    width = 4096  # columns of the matrix at a time
+    for first in range(0, int(where[-1]) + 1 if len(where) else 0, width):
+        a, b = np.searchsorted(where, [first, first + width])
+        m = np.zeros((len(parts), width))
+        m[own[a:b], where[a:b] - first] = 1
+        idf = np.zeros(width)
+        idf[where[a:b] - first] = weight[a:b]
+        out += (m[rows] * idf) @ m[cols].T
+    return out
+
+
+def _tile(t: pa.Table, idf: np.ndarray, p: MinHashParams) -> pa.Table:
+    """(doc_id, outer, inner, text) -> an edge (a, b) per document linked in the tile."""
+    known = _WordHash()
+    ids, outer, inner = (t[c].to_numpy() for c in ("doc_id", "outer", "inner"))
+    parts = [counted_shingles(word_hashes(x, known), idf, p.shingle) for x in t["text"].to_pylist()]
+    sums = np.array([float((c * w).sum()) for _, c, w in parts])
+    rows, cols = np.flatnonzero(outer), np.flatnonzero(inner)
+    shared = _shares(parts, rows, cols)
+    found = shared >= p.similarity * (sums[rows][:, None] + sums[cols][None, :] - shared)
+    found &= ids[rows][:, None] != ids[cols][None, :]
+    low, big = ids.copy(), np.iinfo(np.int64).max
+    while found.any():  # the smallest id reachable in the tile
+        new = low.copy()
+        np.minimum.at(new, rows, np.where(found, low[cols][None, :], big).min(axis=1))
+        np.minimum.at(new, cols, np.where(found, new[rows][:, None], big).min(axis=0))
+        if (new == low).all():
+            break
+        low = new
+    some = low != ids
+    return pa.table({"a": pa.array(ids[some], pa.int64()), "b": pa.array(low[some], pa.int64())})
+
+
+def _tiles(members: DataFrame, open_: DataFrame, texts: DataFrame, idf: np.ndarray,
+           p: MinHashParams) -> DataFrame:
+    """Links between components of the open buckets."""
+    rows = members.join(open_, F.col("bucket") == F.col("_bucket")).withColumn(
+        "outside", F.col("component") != F.col("main"))
+    h = F.xxhash64("doc_id", "bucket")
+    outers, inners = (F.ceil(F.col(c) / n).cast("int") for c, n in (("n_out", p.outer_rows), ("n", p.inner_rows)))
+    # as a member: in its own inner block, for every outer block; as one outside
+    # the largest component: in its own outer block, for every inner block
+    rows = rows.withColumns({"oi": F.pmod(h, outers).cast("int"), "ii": F.pmod(h, inners).cast("int")})
+    as_member = F.transform(F.sequence(F.lit(0), outers - 1), lambda o: F.struct(
+        o.alias("o"), F.col("ii").alias("i"), F.lit(False).alias("outer"), F.lit(True).alias("inner")))
+    as_outer = F.transform(F.sequence(F.lit(0), inners - 1), lambda i: F.struct(
+        F.col("oi").alias("o"), i.alias("i"), F.lit(True).alias("outer"), F.lit(False).alias("inner")))
+    at = F.explode(F.when(F.col("outside"), F.concat(as_member, as_outer)).otherwise(as_member))
+    tile = rows.select("bucket", "doc_id", at.alias("e")).groupBy("bucket", "doc_id", "e.o", "e.i").agg(
+        F.max("e.outer").alias("outer"), F.max("e.inner").alias("inner"))
+    t = texts.select(F.col("doc_id").alias("_id"), "text")
+    held = tile.join(t, F.col("doc_id") == F.col("_id")).drop("_id")
+    return held.groupBy("bucket", "o", "i").applyInArrow(lambda x: _tile(x, idf, p), "a long, b long")
+
+
+def link_buckets(members: DataFrame, texts: DataFrame, idf: np.ndarray, p: MinHashParams) -> DataFrame | None:
     """Components (vertex, component) of the documents of (bucket, doc_id)."""
-    links, comps = None, None
-    while True:
-        members = cut(_labelled(members, comps), "members")
-        ends = members.groupBy("bucket").agg(
-            F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
-            F.min("component").alias("c0"), F.max("component").alias("c1"), F.count(F.lit(1)).alias("n"))
-        open_ = cut(ends.where("c0 != c1").drop("c0", "c1").withColumnRenamed("bucket", "_bucket"), "open-buckets")
-        left = open_.agg(F.count(F.lit(1)).alias("n"), F.sum(F.expr("n * (n - 1) div 2")).alias("pairs")).first()
-        if not left["n"]:
-            return comps
-        rows = members.join(open_, F.col("bucket") == F.col("_bucket"))
-        if left["pairs"] <= p.exhaust * documents:
-            other = members.select(F.col("bucket").alias("_b2"), F.col("doc_id").alias("_d2"),
-                                   F.col("component").alias("_c2"))
-            pairs = rows.join(other, F.col("bucket") == F.col("_b2")).where(
-                "doc_id > _d2 and component != _c2").select(
-                F.col("doc_id").alias("a"), F.col("_d2").alias("b")).distinct()
-            done = True
-        else:
-            # components of the two ends: their rows are joined to the bucket again
-            at = cut(rows.where("doc_id in (low, high)").groupBy("bucket").agg(
-                F.max(F.when(F.col("doc_id") == F.col("low"), F.col("component"))).alias("low_c"),
-                F.max(F.when(F.col("doc_id") == F.col("high"), F.col("component"))).alias("high_c"),
-            ).withColumnRenamed("bucket", "_b2"), "bucket-ends")
-            pairs = _pairs(rows.join(at, F.col("bucket") == F.col("_b2")), ["low", "high"])
-            done = False
-        new = cut(_links(pairs, texts, idf, p), "text-links")
-        links = new if links is None else links.unionByName(new)
-        comps = components(links, "a", "b")
-        if done:
-            return comps
-        # both ends have met every member of their bucket
-        members = rows.where("doc_id not in (low, high)").select("bucket", "doc_id")
+    ends = cut(members.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+               .withColumnRenamed("bucket", "_bucket"), "bucket-ends")
+    met = members.join(ends, F.col("bucket") == F.col("_bucket")).select(
+        "doc_id", F.explode(F.array("low", "high")).alias("other"))
+    pairs = met.where("doc_id != other").select(
+        F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).distinct()
+    links = cut(_links(pairs, texts, idf, p), "text-links")
+    comps = components(links, "a", "b")
+    members = cut(_labelled(members, comps), "members")
+    parts = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    open_ = cut(parts.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"),
+    ).where("parts > 1").select(F.col("bucket").alias("_bucket"), "n", F.col("most.component").alias("main"),
+                                (F.col("n") - F.col("most.n")).alias("n_out")), "open-buckets")
+    more = cut(_tiles(members, open_, texts, idf, p), "tile-links")
+    if more.isEmpty():
+        return comps
+    return components(links.unionByName(more), "a", "b")
 
 
 def near_duplicates(docs: DataFrame, params: MinHashParams | None = None, id_col: str = "doc_id",
@@ -308,7 +364,7 @@ def near_duplicates(docs: DataFrame, params: MinHashParams | None = None, id_col
                   .select("bucket", "doc_id"), "bucket-members")
     wanted = members.select(F.col("doc_id").alias("_want")).distinct()
     texts = cut(rows.join(wanted, F.col("doc_id") == F.col("_want"), "left_semi").distinct(), "candidates")
-    comps = link_buckets(members, texts, idf, p, documents)
+    comps = link_buckets(members, texts, idf, p)
     loose = exact.where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     several = exact.groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x != y")
     if not several.isEmpty():
