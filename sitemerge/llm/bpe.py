@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import long_list, text_slices
 
-MEMO_LIMIT = 400_000  # pre-tokens a task remembers before it starts anew
+MEMO_LIMIT = 150_000  # pre-tokens a task remembers before it starts anew
 MASK = (1 << 64) - 1
 ODD = 0x9E3779B97F4A7C15
 
@@ -182,7 +182,7 @@ class Vocabulary:
         split = regex.compile(pattern).findall
         memo, flat, starts = _Memo(), [], [0]
         for batch in batches:
-            for part in text_slices(batch, text):
+            for part in text_slices(batch, text, 1 << 20):
                 lens, rows = [], []
                 for t in part.column(text).to_pylist():
                     found = list(map(memo.__getitem__, split(t))) if t else []
