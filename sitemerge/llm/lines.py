@@ -13,7 +13,7 @@ Defined results: a null or empty text is one empty line; keys shorter than
 ``min_chars`` code points are never dropped; a document is a row, but rows equal
 in id and text count as one document and share a bitmap; a null id is an id
 like any other; lines in bitmaps are numbered from 0; an empty table gives an
-empty table; other columns are ignored or passed on.
+empty table; other columns are ignored or passed on (names that start with ``_`` are the module's own).
 """
 
 from __future__ import annotations
@@ -169,7 +169,7 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
 def _apply(batches, text_at: str):
     for batch in batches:
         for part in text_slices(batch, text_at):
-            texts, keeps = part.column(text_at).to_pylist(), part.column("keep").to_pylist()
+            texts, keeps = part.column(text_at).to_pylist(), part.column("_keep").to_pylist()
             kept, total, gone = [], [], []
             for text, keep in zip(texts, keeps):
                 if keep is None:
@@ -183,8 +183,8 @@ def _apply(batches, text_at: str):
                 kept.append("\n".join(left))
                 total.append(len(lines))
                 gone.append(len(lines) - len(left))
-            cols = [part.column(i) for i, f in enumerate(part.schema) if f.name not in (text_at, "keep")]
-            names = [f.name for f in part.schema if f.name not in (text_at, "keep")]
+            cols = [part.column(i) for i, f in enumerate(part.schema) if f.name not in (text_at, "_keep")]
+            names = [f.name for f in part.schema if f.name not in (text_at, "_keep")]
             yield pa.record_batch(
                 [*cols, pa.array(kept, pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
                 names=[*names, text_at, "_n_lines", "_n_dropped"])
@@ -194,9 +194,9 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """``docs`` with the kept text, and ``_n_lines`` and ``_n_dropped``."""
     digest = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    b = bitmaps.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "keep")
+    b = bitmaps.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("keep").alias("_keep"))
     on = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (digest == F.col("_digest"))
-    joined = docs.join(b, on, "left").select(*docs.columns, "keep")
+    joined = docs.join(b, on, "left").select(*docs.columns, "_keep")
     rest = [f for f in docs.schema if f.name != text_col]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest),
                         f"`{text_col}` string, _n_lines long, _n_dropped long"])

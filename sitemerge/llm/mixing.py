@@ -17,7 +17,8 @@ third of all rows is spread over its blocks.
 Defined results: a null text has size 0; documents of size 0 are never taken
 partially (they go with their block); null is a source like any other, last in
 order; rows equal in id and text are taken together; a source without words has
-target 0; an empty table gives an empty mix; other columns are passed on.
+target 0; an empty table gives an empty mix; other columns are passed on (names
+that start with ``_`` are the module's own).
 """
 
 from __future__ import annotations
@@ -186,8 +187,8 @@ def _cutoffs(sized: DataFrame, partial: list) -> dict:
     return {r["source"]: r["last"] for r in taken.groupBy("source").agg(F.max("hash").alias("last")).collect()}
 
 
-def _drawn(hash_col: str = "_hash") -> Column:
-    return F.filter("draws", lambda d: d["cutoff"].isNull() | (F.col(hash_col) <= d["cutoff"]))
+def _drawn(draws: str, hash_col: str) -> Column:
+    return F.filter(draws, lambda d: d["cutoff"].isNull() | (F.col(hash_col) <= d["cutoff"]))
 
 
 def mix_plan(docs: DataFrame, mix: Mix | None = None, **cols) -> DataFrame:
@@ -197,7 +198,7 @@ def mix_plan(docs: DataFrame, mix: Mix | None = None, **cols) -> DataFrame:
     d = draws.withColumnRenamed("source", "_s").withColumnRenamed("block", "_b")
     joined = sized.join(d, F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b")), "left")
     return joined.select("doc_id", "source", "size", "source_size", "target",
-                         F.transform(_drawn("hash"), lambda x: F.struct(x["shard"], x["epoch"])).alias("draws"))
+                         F.transform(_drawn("draws", "hash"), lambda x: F.struct(x["shard"], x["epoch"])).alias("draws"))
 
 
 def mix_rows(docs: DataFrame, mix: Mix | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -205,12 +206,12 @@ def mix_rows(docs: DataFrame, mix: Mix | None = None, id_col: str = "doc_id", te
     """The mix itself: the rows of ``docs``, once per draw, with ``_shard`` and
     ``_epoch``; a shard's rows share a partition, shuffled by hash."""
     _, draws, mix = plan(docs, mix or Mix(), id_col, text_col, source_col)
-    d = draws.select(F.col("source").alias("_s"), F.col("block").alias("_b"), "draws")
+    d = draws.select(F.col("source").alias("_s"), F.col("block").alias("_b"), F.col("draws").alias("_draws"))
     h = _hash(mix.seed, id_col, text_col)
     keyed = docs.withColumn("_hash", h).withColumn("_block", _block(F.col("_hash"), mix))
     joined = keyed.join(d, F.col(source_col).cast("string").eqNullSafe(F.col("_s"))
                         & (F.col("_block") == F.col("_b")))
-    rows = joined.withColumn("_d", F.explode(_drawn())).select(
+    rows = joined.withColumn("_d", F.explode(_drawn("_draws", "_hash"))).select(
         *docs.columns, F.col("_d.shard").alias("_shard"), F.col("_d.epoch").alias("_epoch"), "_hash")
     order = F.xxhash64(F.lit(mix.seed), "_shard", "_epoch", "_hash")
     return rows.repartition(mix.shards, "_shard").sortWithinPartitions("_shard", order).drop("_hash")
