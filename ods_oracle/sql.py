@@ -58,7 +58,7 @@ STAGING = {
         CASE WHEN c_custkey % 4 = 1 THEN NULL ELSE concat('Unit ', c_custkey % 9) END AS AddressLine2,
         concat('City ', c_custkey % 50) AS City,
         CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE concat('S', c_custkey % 20) END AS State,
-        lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS ZipCode,
+        lpad(CAST(c_custkey AS VARCHAR), greatest(5, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') AS ZipCode,
         CAST(1 AS SMALLINT) AS RecordOrigSiteId
         FROM customer WHERE c_custkey % 2 = 1""",
     "Stg_Customer": """SELECT CAST(c_custkey AS INTEGER) AS CustomerId,
@@ -80,7 +80,7 @@ STAGING = {
         END AS Address,
         concat('City ', c_nationkey) AS City,
         CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE concat('R', c_nationkey) END AS Region,
-        lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS PostalCode,
+        lpad(CAST(c_nationkey AS VARCHAR), greatest(5, length(CAST(c_nationkey AS VARCHAR)))::INTEGER, '0') AS PostalCode,
         concat('NATION_', c_nationkey) AS Country,
         CAST(2 AS SMALLINT) AS SiteId
         FROM customer WHERE c_custkey % 2 = 0""",
@@ -105,7 +105,7 @@ STAGING = {
         END AS Address,
         concat('City ', user_id % 3) AS City,
         concat('R', user_id % 5) AS StateOrRegion,
-        lpad(CAST(user_id AS VARCHAR), 5, '0') AS PostalCode,
+        lpad(CAST(user_id AS VARCHAR), greatest(5, length(CAST(user_id AS VARCHAR)))::INTEGER, '0') AS PostalCode,
         concat('NATION_', user_id % 25) AS Country,
         concat('u', user_id, '@site2.test') AS EmailAddress,
         CAST(CASE WHEN user_id = 0 THEN NULL ELSE user_id % 4 END AS INTEGER) AS ReportsTo,
@@ -128,18 +128,18 @@ STAGING = {
         concat('Road ', s_suppkey) AS Address,
         concat('City ', s_nationkey) AS City,
         concat('R', s_nationkey) AS StateOrRegion,
-        lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS PostalCode,
+        lpad(CAST(s_nationkey AS VARCHAR), greatest(5, length(CAST(s_nationkey AS VARCHAR)))::INTEGER, '0') AS PostalCode,
         concat('NATION_', s_nationkey) AS Country,
         CAST(2 AS SMALLINT) AS SiteId
         FROM supplier WHERE s_suppkey % 2 = 0""",
-    "Stg_Territories": """SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS TerritoryID,
+    "Stg_Territories": """SELECT lpad(CAST(n_nationkey AS VARCHAR), greatest(5, length(CAST(n_nationkey AS VARCHAR)))::INTEGER, '0') AS TerritoryID,
         n_name AS TerritoryDescription,
         CAST(n_regionkey AS SMALLINT) AS RegionID,
         CAST(2 AS SMALLINT) AS SiteId
         FROM nation""",
     "Stg_EmployeeTerritories": """SELECT CAST(user_id AS SMALLINT) AS EmployeeID,
         CASE WHEN user_id % 10 = 4 THEN '99999'
-             ELSE lpad(CAST(user_id % 25 AS VARCHAR), 5, '0') END AS TerritoryID
+             ELSE lpad(CAST(user_id % 25 AS VARCHAR), greatest(5, length(CAST(user_id % 25 AS VARCHAR)))::INTEGER, '0') END AS TerritoryID
         FROM (SELECT DISTINCT user_id FROM events) u WHERE user_id % 2 = 0""",
     "Stg_StockItem": """SELECT CAST(p_partkey AS INTEGER) AS StockItemId,
         p_name AS StockItemName,
@@ -196,7 +196,7 @@ STAGING = {
         CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE concat('Dock ', o_custkey % 97) END AS ShipAddress,
         concat('City ', o_custkey % 2) AS ShipCity,
         concat('R', o_custkey % 2) AS ShipStateOrRegion,
-        lpad(CAST(o_custkey % 97 AS VARCHAR), 5, '0') AS ShipPostalCode,
+        lpad(CAST(o_custkey % 97 AS VARCHAR), greatest(5, length(CAST(o_custkey % 97 AS VARCHAR)))::INTEGER, '0') AS ShipPostalCode,
         concat('NATION_', o_custkey % 25) AS ShipCountry,
         CAST(2 AS SMALLINT) AS SiteId
         FROM orders WHERE o_orderkey % 2 = 0""",

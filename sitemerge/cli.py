@@ -18,7 +18,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from .plans.loads import DEFAULT_LOAD_TS, ORDER, Options
+from .plans.loads import ORDER, Options
 from .plans.pipeline import publish, run_pipeline
 from .sources.staging import read_staging
 from .sources.targets import TABLES
@@ -38,7 +38,7 @@ def main(argv=None) -> None:
     ap.add_argument("--staging", required=True)
     ap.add_argument("--snapshots", required=True)
     ap.add_argument("--previous", help="run id to continue from (default: empty ODS)")
-    ap.add_argument("--load-ts", default=DEFAULT_LOAD_TS)
+    ap.add_argument("--load-ts", help="stamp of the run (default: the current time)")
     ap.add_argument("--strict", action="store_true")
     ap.add_argument("--tables", help="comma-separated subset of the loads, in order")
     args = ap.parse_args(argv)

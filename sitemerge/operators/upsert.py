@@ -83,6 +83,7 @@ class UpdateSpec:
     match: list  # [(source expression, target column)]
     tracks: list[Track]
     reuse: bool = False  # materialise the per-key classes (costly source)
+    null_keys: bool = False  # the target holds many rows without a key
 
 
 def _struct(cols: list[Column], prefix: str) -> Column:
@@ -121,6 +122,13 @@ def apply_update(state: DataFrame, spec: UpdateSpec, table: Table, load_ts: Colu
     summary = update_summary(spec)
     keys = [f"_k{i}" for i in range(len(spec.match))]
     cond = [F.col(tcol) == F.col(k) for (_, tcol), k in zip(spec.match, keys)]
+    # rows without a key match nothing: they go round the join, which would
+    # send them all to one task
+    keyless = None
+    if spec.null_keys:
+        has_key = reduce(and_, [F.col(tcol).isNotNull() for _, tcol in spec.match])
+        keyless = state.where(~has_key)
+        state = state.where(has_key)
     joined = state.join(summary, cond, "left")
     n = len(spec.tracks)
     target_in_first = reduce(
@@ -143,7 +151,8 @@ def apply_update(state: DataFrame, spec: UpdateSpec, table: Table, load_ts: Colu
             out.append(F.when(hit, load_ts).otherwise(F.col(c.name)).alias(c.name))
         else:
             out.append(F.col(c.name))
-    return joined.select(*out)
+    updated = joined.select(*out)
+    return updated if keyless is None else updated.unionByName(keyless.select(*table.names))
 
 
 def to_target(df: DataFrame, table: Table, columns: list[str] | None = None) -> DataFrame:

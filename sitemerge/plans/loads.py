@@ -154,6 +154,7 @@ def _u_address(ctx: Ctx) -> UpdateSpec:
             track("state", "State", "text"),
             track("postal_code", "ZipCode", "text"),
         ],
+        null_keys=True,
     )
 
 
@@ -181,6 +182,12 @@ def _address_text_arm(table, addr, city, state, postal, country, key, by_country
         on = [(ctx.key(addr), "full_address")]
         if by_country:
             on.append((country, "country"))
+        order = [_num_text(key) if table == "Stg_Customers" else _num(key)]
+        if tgt is not None:
+            # few distinct addresses among many rows: reduced map-side before
+            # the join on a text key (rows keep no source key from here on)
+            src = src.select("SiteId", addr, city, state, postal, country).distinct()
+            order = []
         src = new_rows(src, tgt, on)
         return src.select(
             typed_null("int").alias("orig_address_id"),
@@ -191,7 +198,7 @@ def _address_text_arm(table, addr, city, state, postal, country, key, by_country
             F.col(country).alias("country"),
             *_audit(ctx),
             F.col("SiteId").alias("site_id"),
-            (_num_text(key) if table == "Stg_Customers" else _num(key)),
+            *order,
         )
 
     return build
@@ -638,7 +645,8 @@ def _u_order_1(ctx: Ctx) -> UpdateSpec:
 def _u_order_2(ctx: Ctx) -> UpdateSpec:
     src = lookup(ctx.stg["Stg_Orders"], ctx.stg["Stg_Shippers"], [("ShipVia", "ShipperID")],
                  {"_ship_name": "CompanyName", "_ship_phone": "Phone"}, how="inner")
-    src = gate(src, ctx.state["employee"], [("EmployeeID", "orig_employee_id")])
+    src = gate(src, ctx.state["employee"],
+               site_keys(ctx, [("EmployeeID", "orig_employee_id")], "SiteId", "record_orig_site_id"))
     src = gate(src, ctx.state["address"],
                [(ctx.key("ShipAddress"), "full_address"), ("ShipCountry", "country")])
     return UpdateSpec(
@@ -659,7 +667,9 @@ def _u_order_2(ctx: Ctx) -> UpdateSpec:
 def _n_order_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
     stg, state = ctx.stg, ctx.state
     src = new_rows(stg["Stg_OrderHeader"], tgt, site_keys(ctx, [("OrderId", "orig_order_id")], "SiteId", "site_id"))
-    src = lookup(src, state["customer"], [(F.col("CustomerId").cast("string"), "orig_customer_id")],
+    src = lookup(src, state["customer"],
+                 site_keys(ctx, [(F.col("CustomerId").cast("string"), "orig_customer_id")],
+                           "SiteId", "record_orig_site_id"),
                  {"_cust": "ODS_customer_id"})
     emp1 = state["employee"].where(F.col("record_orig_site_id") == 1)
     src = lookup(src, emp1, [("SalesPersonId", "orig_employee_id")], {"_emp": "ODS_employee_id"},
@@ -693,7 +703,8 @@ def _n_order_2(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
     src = new_rows(stg["Stg_Orders"], tgt, site_keys(ctx, [("OrderID", "orig_order_id")], "SiteId", "site_id"))
     src = lookup(src, stg["Stg_Shippers"], [("ShipVia", "ShipperID")],
                  {"_ship_name": "CompanyName", "_ship_phone": "Phone"})
-    src = lookup(src, state["customer"], [("CustomerID", "orig_customer_id")],
+    src = lookup(src, state["customer"],
+                 site_keys(ctx, [("CustomerID", "orig_customer_id")], "SiteId", "record_orig_site_id"),
                  {"_cust": "ODS_customer_id"})
     emp2 = state["employee"].where(F.col("record_orig_site_id") == 2)
     src = lookup(src, emp2, [("EmployeeID", "orig_employee_id")], {"_emp": "ODS_employee_id"},

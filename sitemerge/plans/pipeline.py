@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,7 +100,8 @@ def publish(df: DataFrame, name: str, snapshot_dir: str | None, run_id: str,
     folder: the next run's update join and anti-join on the key then read it
     already partitioned, and only the (small) staging side is shuffled."""
     table = TABLES[name]
-    if buckets and table.orig_col:
+    # text addresses have no source key: hashed, they would all share a bucket
+    if buckets and table.orig_col and name != "address":
         spark = df.sparkSession
         base = (os.path.join(snapshot_dir, name) if snapshot_dir
                 else f"{ensure_checkpoint_dir(spark).rstrip('/')}/sitemerge/state-{name}")
@@ -147,11 +149,16 @@ def levels(tables: list[str]) -> list[list[str]]:
     return [out[d] for d in sorted(out)]
 
 
+def now() -> str:
+    """The current time as a load stamp (UTC, seconds)."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+
 def run_pipeline(
     spark: SparkSession,
     staging: dict[str, DataFrame],
     state: dict[str, DataFrame] | None = None,
-    load_ts: str = DEFAULT_LOAD_TS,
+    load_ts: str | None = None,
     options: Options | None = None,
     snapshot_dir: str | None = None,
     tables: list[str] | None = None,
@@ -159,7 +166,7 @@ def run_pipeline(
     parallel: bool = True,
 ) -> dict[str, DataFrame]:
     """PIPE-ALL: the loads in foreign-key order; returns the new state of
-    every table.
+    every table.  ``load_ts`` stamps the rows; by default the current time.
 
     With ``parallel`` the independent loads of one level (e.g. customer,
     employee, supplier and territory) are submitted from driver threads at
@@ -167,6 +174,7 @@ def run_pipeline(
     equal the serial order.  With ``snapshot_dir`` each loaded table's new
     state is written to ``<snapshot_dir>/<table>/run=<run_id>``."""
     run_id = run_id or uuid.uuid4().hex[:12]
+    load_ts = load_ts or now()
     state = dict(state or {})
     empty = set()
     for name in ORDER:

@@ -36,7 +36,9 @@ def _ts(text: str) -> Column:
 
 
 def _pad5(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 5, "0")
+    """Padded to five characters; longer numbers stay whole."""
+    text = c.cast("string")
+    return F.lpad(text, F.greatest(F.lit(5), F.length(text)), F.lit("0"))
 
 
 def _null_when(cond: Column, value: Column) -> Column:

@@ -38,7 +38,7 @@ def test_strict_rerun_changes_nothing_and_keys_hold(spark):
 
 def test_faithful_rerun_keeps_rows_and_ids(spark):
     stg = derive_staging(spark, SMALL)
-    first = run_pipeline(spark, stg)
+    first = run_pipeline(spark, stg, load_ts="2024-11-24 00:00:00")
     second = run_pipeline(spark, stg, first, load_ts="2024-11-25 00:00:00")
     for name in ORDER:
         # no existing row is lost and ids stay
@@ -72,8 +72,8 @@ def test_reads_declares_every_table_a_load_uses(spark):
 
 def test_parallel_levels_equal_serial_order(spark):
     stg = derive_staging(spark, SMALL)
-    par = run_pipeline(spark, stg, parallel=True)
-    ser = run_pipeline(spark, stg, parallel=False)
+    par = run_pipeline(spark, stg, load_ts="2024-11-24 00:00:00", parallel=True)
+    ser = run_pipeline(spark, stg, load_ts="2024-11-24 00:00:00", parallel=False)
     for name in ORDER:
         a, b = par[name], ser[name]
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
