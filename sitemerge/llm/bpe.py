@@ -210,7 +210,8 @@ class Vocabulary:
         tokens = [unknown] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             tokens[rank] = token
-        for batch in batches:
+        # few rows at a time bound the bytes held
+        for batch in (b.slice(a, 256) for b in batches for a in range(0, b.num_rows, 256)):
             made = []
             for row in batch.column(ids):
                 values = row.values
