@@ -51,7 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     v = vocabulary()
-    done = bpe.decode(bpe.encode(docs, v), v)
+    done = bpe.round_trip(docs, v)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return done.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        (F.col("decoded") == text).alias("round_trip"))

@@ -248,6 +248,17 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: str
                          _with(df, out, "binary"))
 
 
+def round_trip(df: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids: str = "ids",
+               out: str = "decoded") -> DataFrame:
+    """``decode(encode(df))`` in one pass: a task's ids are decoded by the worker
+    that made them, so a task holds one Python worker instead of two."""
+    if out in (ids, *df.columns):
+        raise ValueError(f"column {out} exists")
+    schema = f"{_with(df, ids, 'array<int>')}, `{out}` binary"
+    return df.mapInArrow(
+        lambda it: vocabulary.decode_batches(vocabulary.encode_batches(it, text_col, ids), ids, out), schema)
+
+
 def ids_digest(ids: str) -> Column:
     """Lowercase hex sha-256 of the decimal ids joined by commas."""
     return F.sha2(F.concat_ws(",", F.col(ids).cast("array<string>")).cast("binary"), 256)

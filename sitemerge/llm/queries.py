@@ -56,8 +56,7 @@ def vocabulary(path: str | None = None) -> bpe.Vocabulary:
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     v = vocabulary()
-    ids = bpe.encode(docs, v).drop("text")
-    return bpe.decode(ids, v).select(
+    return bpe.round_trip(docs, v).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_digest("ids").alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

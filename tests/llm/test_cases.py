@@ -96,6 +96,10 @@ def test_bpe_cases(spark):
     odd = spark.createDataFrame([(None,), ([65, None, 999, -1],)], "ids array<int>")
     assert [bytes(r["decoded"]).decode() for r in bpe.decode(odd, v).collect()] == ["", "A���"]
     assert bpe.encode(df.limit(0), v).count() == 0
+    once = bpe.round_trip(df, v)
+    assert once.columns == [*df.columns, "ids", "decoded"]
+    assert once.collect() == bpe.decode(bpe.encode(df, v), v).collect()
+    assert bpe.round_trip(df.limit(0), v).count() == 0
 
 
 def test_licenses(spark):
