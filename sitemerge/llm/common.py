@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import materialize
 
 SLICE_BYTES = 4 << 20
+BATCH_ROWS = 1000  # rows of an Arrow batch; the default of 10,000 texts fills tens of MB
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back."""
-    return materialize(df, f"llm-{label}")
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Arrow batches hold at most ``BATCH_ROWS`` rows while it is written: both
+    the JVM and the Python worker of a task hold a batch."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key, None)
+    conf.set(key, str(BATCH_ROWS))
+    try:
+        return materialize(df, f"llm-{label}")
+    finally:
+        if before is None:
+            conf.unset(key)
+        else:
+            conf.set(key, before)
 
 
 def partitions(spark: SparkSession) -> int:

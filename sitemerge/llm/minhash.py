@@ -63,7 +63,7 @@ class MinHashParams:
 
 class _WordHash(dict):
     def __missing__(self, word):
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -254,7 +254,7 @@ def _shares(parts: list[tuple], rows: np.ndarray, cols: np.ndarray) -> np.ndarra
     own, weight = own[order], weight[order]
     _, where = np.unique(where[order], return_inverse=True)
     out = np.zeros((len(rows), len(cols)))
-    width = 4096  # columns of the matrix at a time
+    width = 1024  # columns of the matrix at a time
     for first in range(0, int(where[-1]) + 1 if len(where) else 0, width):
         a, b = np.searchsorted(where, [first, first + width])
         m = np.zeros((len(parts), width))
