@@ -13,8 +13,9 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as entry_mod  # noqa: E402
 from check_oracle import duck, rows_of  # noqa: E402
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+# the training-data queries have tests of their own
+QUERIES = {**entry_mod.load_queries(), **entry_mod.check_queries(), **entry_mod.operator_queries()}
+ORACLE = {**entry_mod.oracle_statements(), **entry_mod.check_statements(), **entry_mod.operator_statements()}
 
 
 @pytest.fixture(scope="module")
