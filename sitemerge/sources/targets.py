@@ -77,12 +77,13 @@ class Table:
 
     @property
     def order_cols(self) -> list[str]:
-        """Deterministic order for new ids: site, source key, then the other
-        business columns in table order (audit columns excluded)."""
-        audit = {"date_created", "last_update", self.id_col}
+        """Total order for new ids: site, source key, the other business
+        columns in table order, then the audit columns (a product's
+        ``last_update`` is source data and may be all that tells two rows apart)."""
+        audit = [c for c in ("date_created", "last_update") if c in self.names]
         head = [c for c in (self.site_col, self.orig_col) if c]
-        rest = [c for c in self.names if c not in audit and c not in head]
-        return head + rest
+        rest = [c for c in self.insert_cols if c not in audit and c not in head]
+        return head + rest + audit
 
 
 def _t(name, cols, pk, **kw) -> Table:

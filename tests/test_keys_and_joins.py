@@ -5,6 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from sitemerge.sources.targets import TABLES
 from sitemerge.operators.joins import gate, lookup, new_rows
 from sitemerge.operators.keys import assign_ids
 
@@ -58,3 +59,8 @@ def test_lookup_fans_out_and_inner_drops(spark):
     assert sorted((r["k"], r["rid"]) for r in left.collect()) == sorted(
         [(1, 10), (1, 11), (2, None)], key=str)
     assert lookup(src, ref, [("k", "k")], {"rid": "id"}, how="inner").count() == 2
+
+
+def test_order_of_new_ids_holds_every_inserted_column():
+    for table in TABLES.values():
+        assert sorted(table.order_cols) == sorted(table.insert_cols), table.name
