@@ -14,11 +14,10 @@ source and target rows per key could emit all pairs of a large group.  The
 plan avoids that:
 
 1. group source rows by (key, comparison tuple) -> one *class* per distinct
-   comparison tuple with its smallest value tuple (partial aggregation, so a
-   hot key is combined map-side); where the source is costly (gated by large
-   ODS tables) the classes are written once, as they are read three times;
-2. per key keep the smallest class and the smallest class that differs from
-   it (two more aggregations, one join on the key);
+   comparison tuple with its smallest value tuple (partial aggregation);
+2. per key keep the two smallest classes by ``row_number``, which Spark limits
+   to two per key in each map task before the shuffle, so the classes of a hot
+   key never meet in one task; the source is read once;
 3. join the target to that one-row-per-key summary: a target row whose own
    comparison tuple equals the smallest class takes the second one, every
    other row the first.  No row fans out and no pair is built.
@@ -42,12 +41,11 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import null_default
 from ..sources.targets import Table
-from ..session import materialize
 from .keys import assign_ids, max_id
 
 
@@ -82,7 +80,6 @@ class UpdateSpec:
     source: DataFrame  # staging rows after enrich joins and gates
     match: list  # [(source expression, target column)]
     tracks: list[Track]
-    reuse: bool = False  # materialise the per-key classes (costly source)
     null_keys: bool = False  # the target holds many rows without a key
 
 
@@ -99,22 +96,12 @@ def update_summary(spec: UpdateSpec) -> DataFrame:
         _struct([t.src_cmp for t in spec.tracks], "c").alias("_c"),
     ).where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
     classes = src.groupBy(*keys, "_c").agg(F.min("_v").alias("_v"))
-    if spec.reuse:
-        # the classes are read three times below; written once, the source
-        # and its gates (joins against large ODS tables) run once
-        classes = materialize(classes, f"classes-{spec.name}")
-    first = classes.groupBy(*keys).agg(F.min(F.struct("_v", "_c")).alias("_f"))
-    n = len(spec.tracks)
-    same_as_first = reduce(
-        and_, [F.col(f"_c.c{i}").eqNullSafe(F.col(f"_f._c.c{i}")) for i in range(n)]
-    )
-    second = (
-        classes.join(first, keys)
-        .where(~same_as_first)
-        .groupBy(*keys)
-        .agg(F.min(F.struct("_v", "_c")).alias("_s"))
-    )
-    return first.join(second, keys, "left")
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_v", "_c"))
+    two = classes.withColumn("_rank", rank).where(F.col("_rank") <= 2)
+    return two.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("_rank") == r, F.struct("_v", "_c"))).alias(name)
+        for r, name in ((1, "_f"), (2, "_s"))
+    ])
 
 
 def apply_update(state: DataFrame, spec: UpdateSpec, table: Table, load_ts: Column) -> DataFrame:

@@ -660,7 +660,6 @@ def _u_order_2(ctx: Ctx) -> UpdateSpec:
             track("shipping_company_phone", "_ship_phone", "text"),
             track("freight", "Freight", "price"),
         ],
-        reuse=True,
     )
 
 
@@ -773,7 +772,6 @@ def _u_order_detail_1(ctx: Ctx) -> UpdateSpec:
                          ("unit_price", "UnitPrice", "price"),
                          ("tax_rate", "TaxRate", "count"),
                          ("item_picked_date", "ItemPickedDate", "date")]),
-        reuse=True,
     )
 
 
@@ -790,7 +788,7 @@ def _u_order_detail_2(ctx: Ctx) -> UpdateSpec:
     else:
         src = _gate_order_product(ctx, src, "OrderID", "ProductID")
         match = [("OrderID", "orig_order_detail_id")]
-    return UpdateSpec("u_order_detail_2", src, match, _od_tracks(ctx, items), reuse=True)
+    return UpdateSpec("u_order_detail_2", src, match, _od_tracks(ctx, items))
 
 
 def _od_tracks(ctx: Ctx, items) -> list:

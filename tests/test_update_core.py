@@ -8,7 +8,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from sitemerge.operators.upsert import UpdateSpec, apply_update, track
+from sitemerge.operators.upsert import UpdateSpec, apply_update, track, update_summary
 from sitemerge.sources.targets import Col, Table, INT, STR, TS
 
 def TS0():
@@ -68,3 +68,11 @@ def test_no_pairs_in_plan(spark):
     spec = UpdateSpec("t", sdf, [("k", "k")], [track("a", "a", "text")])
     plan = apply_update(tdf, spec, T2, TS0())._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_summary_reads_the_source_once_and_limits_before_the_shuffle(spark):
+    sdf = spark.range(100).selectExpr("cast(id % 3 as int) k", "cast(id as string) a")
+    spec = UpdateSpec("t", sdf, [("k", "k")], [track("a", "a", "text")])
+    plan = update_summary(spec)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Range") == 1 and "Join" not in plan
+    assert "Partial" in next(line for line in plan.splitlines()[::-1] if "WindowGroupLimit" in line)
