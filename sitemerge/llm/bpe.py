@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_list, text_slices
+from .common import giving_back, long_list, text_slices
 
 MEMO_LIMIT = 150_000  # pre-tokens a task remembers before it starts anew
 MASK = (1 << 64) - 1
@@ -238,13 +238,13 @@ def _with(df: DataFrame, column: str, kind: str) -> str:
 
 def encode(df: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with the ids of each text in column ``out`` (array<int>)."""
-    return df.mapInArrow(lambda it: vocabulary.encode_batches(it, text_col, out),
+    return df.mapInArrow(lambda it: giving_back(vocabulary.encode_batches(it, text_col, out)),
                          _with(df, out, "array<int>"))
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the bytes of each id list in column ``out`` (binary)."""
-    return df.mapInArrow(lambda it: vocabulary.decode_batches(it, ids_col, out),
+    return df.mapInArrow(lambda it: giving_back(vocabulary.decode_batches(it, ids_col, out)),
                          _with(df, out, "binary"))
 
 
@@ -256,7 +256,8 @@ def round_trip(df: DataFrame, vocabulary: Vocabulary, text_col: str = "text", id
         raise ValueError(f"column {out} exists")
     schema = f"{_with(df, ids, 'array<int>')}, `{out}` binary"
     return df.mapInArrow(
-        lambda it: vocabulary.decode_batches(vocabulary.encode_batches(it, text_col, ids), ids, out), schema)
+        lambda it: giving_back(vocabulary.decode_batches(
+            vocabulary.encode_batches(it, text_col, ids), ids, out)), schema)
 
 
 def ids_digest(ids: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,23 @@ def cut(df: DataFrame, label: str) -> DataFrame:
             conf.set(key, before)
 
 
+def give_back() -> None:
+    """Return freed memory to the system.  Python workers outlive their tasks,
+    and allocators otherwise keep what the largest step of a stage needed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def giving_back(batches):
+    """The batches, then ``give_back`` once the step that made them is done."""
+    yield from batches
+    del batches
+    give_back()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

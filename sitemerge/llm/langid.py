@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import giving_back, text_slices
 
 SAMPLE = 2400  # documents the machines are fitted on, at most
 DIM = 4096  # hashed features
@@ -180,7 +180,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     texts = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), key.alias("key")).join(
         F.broadcast(chosen.select("lang", "key").distinct()), ["lang", "key"], "left_semi")
     rows = (texts.dropDuplicates(["lang", "key"]).select("lang", "text")
-            .mapInArrow(_sampled, "lang string, x binary").collect())
+            .mapInArrow(lambda it: giving_back(_sampled(it)), "lang string, x binary").collect())
     rows = sorted(((r["lang"], bytes(r["x"])) for r in rows),
                   key=lambda r: (r[0], hashlib.sha256(r[1]).digest()))
     x = np.stack([np.frombuffer(b, np.float32) for _, b in rows])
@@ -209,4 +209,4 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text",
         raise ValueError(f"columns {out} exist")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema),
                         f"`{out[0]}` string, `{out[1]}` double"])
-    return docs.mapInArrow(lambda it: _predicted(it, model, text_col, out), schema)
+    return docs.mapInArrow(lambda it: giving_back(_predicted(it, model, text_col, out)), schema)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, partitions, text_slices
+from .common import cut, giving_back, partitions, text_slices
 
 LINE = "h1 long, h2 long, doc_id long, digest long, n_lines int, positions array<int>"
 FOUND = "kind int, h1 long, h2 long, doc_id long, digest long, n_lines int, positions array<int>, n long"
@@ -144,9 +144,9 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"),
                        text.alias("text"))
     order = ["h1", "h2", "doc_id", "digest"]
-    keyed = (rows.mapInArrow(lambda it: _keys(it, min_chars), LINE)
+    keyed = (rows.mapInArrow(lambda it: giving_back(_keys(it, min_chars)), LINE)
              .repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order))
-    found = cut(keyed.mapInArrow(lambda it: _stream(it, min_docs, keep_first), FOUND), "lines")
+    found = cut(keyed.mapInArrow(lambda it: giving_back(_stream(it, min_docs, keep_first)), FOUND), "lines")
     # two rows per partition at most: the keys that a partition edge may cut
     edges = found.where(F.col("kind") == EDGE).groupBy("h1", "h2").agg(
         F.sum("n").alias("n"),
@@ -163,7 +163,8 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
                .where(F.size("positions") > 0))
     return (dropped.groupBy("doc_id", "digest")
             .agg(F.max("n_lines").alias("n_lines"), F.collect_list("positions").alias("dropped"))
-            .mapInArrow(_bitmaps, "doc_id long, digest long, n_lines int, n_dropped int, keep binary"))
+            .mapInArrow(lambda it: giving_back(_bitmaps(it)),
+                        "doc_id long, digest long, n_lines int, n_dropped int, keep binary"))
 
 
 def _apply(batches, text_at: str):
@@ -200,4 +201,4 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id",
     rest = [f for f in docs.schema if f.name != text_col]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest),
                         f"`{text_col}` string, _n_lines long, _n_dropped long"])
-    return joined.mapInArrow(lambda it: _apply(it, text_col), schema)
+    return joined.mapInArrow(lambda it: giving_back(_apply(it, text_col)), schema)

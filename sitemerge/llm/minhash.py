@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, long_list, text_slices
+from .common import cut, give_back, giving_back, long_list, text_slices
 from .components import components
 
 WORDS = re.compile(r"\w+")
@@ -226,7 +226,7 @@ def _links(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, p: MinHashParams
     b = texts.select(F.col("doc_id").alias("_b"), F.col("text").alias("text_b"))
     both = (pairs.join(a, F.col("a") == F.col("_a")).join(b, F.col("b") == F.col("_b"))
             .select("a", "b", "text_a", "text_b").sortWithinPartitions("b"))
-    return both.mapInArrow(lambda it: _verified(it, idf, p), "a long, b long")
+    return both.mapInArrow(lambda it: giving_back(_verified(it, idf, p)), "a long, b long")
 
 
 def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:
@@ -284,6 +284,8 @@ def _tile(t: pa.Table, idf: np.ndarray, p: MinHashParams) -> pa.Table:
             break
         low = new
     some = low != ids
+    del parts, shared, found
+    give_back()
     return pa.table({"a": pa.array(ids[some], pa.int64()), "b": pa.array(low[some], pa.int64())})
 
 
@@ -337,7 +339,8 @@ def near_duplicates(docs: DataFrame, params: MinHashParams | None = None, id_col
     p = params or MinHashParams()
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    counted = cut(rows.mapInArrow(_counted, "kind int, key long, h1 long, h2 long, n long"), "word-counts")
+    counted = cut(rows.mapInArrow(lambda it: giving_back(_counted(it)),
+                                  "kind int, key long, h1 long, h2 long, n long"), "word-counts")
     frequent = counted.where(F.col("kind") == WORD).groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << BUCKET_BITS)  # the table's size is fixed
     counts[frequent["key"].to_numpy()] = frequent["n"].to_numpy()
@@ -353,7 +356,7 @@ def near_duplicates(docs: DataFrame, params: MinHashParams | None = None, id_col
     exact = cut(exact, "exact")
 
     sampled = rows.where("doc_id is not null").mapInArrow(
-        lambda it: _sampled(it, idf, p), "doc_id long, bands array<long>")
+        lambda it: giving_back(_sampled(it, idf, p)), "doc_id long, bands array<long>")
     one = reps.select(F.col("rep").alias("_rep")).distinct()
     buckets = sampled.join(one, F.col("doc_id") == F.col("_rep"), "left_semi").select(
         F.explode("bands").alias("bucket"), "doc_id").distinct()
