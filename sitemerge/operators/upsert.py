@@ -125,7 +125,7 @@ def apply_update(state: DataFrame, spec: UpdateSpec, table: Table, load_ts: Colu
     joined = joined.withColumn("_pick", chosen)
     hit = F.col("_pick").isNotNull()
     new_vals = {
-        t.target: F.when(hit, F.col(f"_pick._v.v{i}").cast(table.col(t.target).dtype)).otherwise(
+        t.target: F.when(hit, F.col(f"_pick._v.v{i}").cast(table.col(t.target).stored)).otherwise(
             F.col(t.target)
         )
         for i, t in enumerate(spec.tracks)
@@ -145,7 +145,7 @@ def apply_update(state: DataFrame, spec: UpdateSpec, table: Table, load_ts: Colu
 def to_target(df: DataFrame, table: Table, columns: list[str] | None = None) -> DataFrame:
     """Cast to the target column types (the implicit cast of an insert)."""
     cols = columns or table.names
-    return df.select([F.col(c).cast(table.col(c).dtype).alias(c) for c in cols])
+    return df.select([F.col(c).cast(table.col(c).stored).alias(c) for c in cols])
 
 
 def union_distinct(arms: list[DataFrame]) -> DataFrame:
@@ -170,7 +170,7 @@ def new_with_ids(
             table.id_col,
             table.order_cols,
             start=start,
-            dtype=table.col(table.id_col).dtype,
+            dtype=table.col(table.id_col).stored,
             partitions=partitions,
         )
     return to_target(rows, table)

@@ -190,7 +190,7 @@ def _address_text_arm(table, addr, city, state, postal, country, key, by_country
             order = []
         src = new_rows(src, tgt, on)
         return src.select(
-            typed_null("int").alias("orig_address_id"),
+            typed_null("long").alias("orig_address_id"),
             F.col(addr).alias("full_address"),
             F.col(city).alias("city"),
             F.col(state).alias("state"),
@@ -334,7 +334,7 @@ def _n_employee_1(ctx: Ctx, tgt: DataFrame | None) -> DataFrame:
         typed_null("timestamp_ntz").alias("hire_date"),
         termination_from_active("IsActive", ctx.load_ts).alias("termination_date"),
         F.col("PhoneNumber").alias("phone"),
-        typed_null("int").alias("ODS_address_id"),
+        typed_null("long").alias("ODS_address_id"),
         F.col("Email").alias("email"),
         typed_null("string").alias("reports_to"),
         typed_null("string").alias("notes"),

@@ -234,7 +234,7 @@ def derive_staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         _cat("Ship ", c("r_name")).alias("CompanyName"),
         _cat("561-", c("r_regionkey")).alias("Phone"),
     )
-    lk = c("l_orderkey")
+    lk = c("l_orderkey").cast("long")
     stg["Stg_OrderLine"] = line.where(odd(lk)).select(
         (lk * 10 + c("l_linenumber")).alias("OrderLineId"),
         lk.alias("OrderId"),

@@ -3,9 +3,10 @@
 The loads read twenty ``Stg_*`` tables that the source systems fill.  Their
 schemas are declared here so a production run reads them without inference
 (``spark.read.schema(s).parquet(p)``): column pruning and predicate pushdown
-then reach the scan.  Site 1 tables carry the site tag as ``RecordOrigSiteId``
-or ``SiteId``; site 2 tables as ``SiteId``; ``Stg_Region`` and the lookup
-tables carry none.
+then reach the scan.  Keys are ``long``: the declared widths of the targets (16
+and 32 bits) are judged by ``check_range``, not by the reader.  Site 1 tables
+carry the site tag as ``RecordOrigSiteId`` or ``SiteId``; site 2 tables as
+``SiteId``; ``Stg_Region`` and the lookup tables carry none.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 _TYPES = {
     "short": T.ShortType(),
     "int": T.IntegerType(),
+    "long": T.LongType(),  # keys of the source systems, whatever their size
     "string": T.StringType(),
     "ts": T.TimestampNTZType(),
     "bool": T.BooleanType(),
@@ -37,40 +39,40 @@ def _schema(spec: str) -> T.StructType:
 
 STAGING: dict[str, T.StructType] = {
     # shared
-    "Stg_Region": _schema("RegionID short, RegionDescription string"),
+    "Stg_Region": _schema("RegionID long, RegionDescription string"),
     # site 1
     "Stg_Address": _schema(
-        "AddressId int, AddressLine1 string, AddressLine2 string, City string, "
+        "AddressId long, AddressLine1 string, AddressLine2 string, City string, "
         "State string, ZipCode string, RecordOrigSiteId short"
     ),
     "Stg_Customer": _schema(
-        "CustomerId int, CustomerName string, ContactName string, PhoneNumber string, "
-        "BillingAddressId int, DeliveryAddressId int, RecordOrigSiteId short"
+        "CustomerId long, CustomerName string, ContactName string, PhoneNumber string, "
+        "BillingAddressId long, DeliveryAddressId long, RecordOrigSiteId short"
     ),
     "Stg_SalesPerson": _schema(
-        "SalesPersonId short, FirstName string, LastName string, PhoneNumber string, "
+        "SalesPersonId long, FirstName string, LastName string, PhoneNumber string, "
         "Email string, IsActive short, RecordOrigSiteId short"
     ),
     "Stg_Supplier": _schema(
-        "SupplierId int, SupplierName string, ContactName string, PhoneNumber string, "
-        "Website string, AddressId int, SiteId short"
+        "SupplierId long, SupplierName string, ContactName string, PhoneNumber string, "
+        "Website string, AddressId long, SiteId short"
     ),
     "Stg_StockItem": _schema(
-        "StockItemId int, StockItemName string, ItemCategoryId int, SupplierId int, "
+        "StockItemId long, StockItemName string, ItemCategoryId long, SupplierId long, "
         "Color string, Size string, QuantityPerOuter int, Cost dec52, RetailPrice dec52, "
         "IsActive short, SiteId short"
     ),
     "Stg_StockItemInventory": _schema(
-        "StockItemID int, QuantityOnHand int, ReorderLevel int, TargetStockLevel int, "
+        "StockItemID long, QuantityOnHand int, ReorderLevel int, TargetStockLevel int, "
         "BinLocation string, LastEditDateTime ts"
     ),
-    "Stg_ItemCategory": _schema("CategoryId int, Category string"),
+    "Stg_ItemCategory": _schema("CategoryId long, Category string"),
     "Stg_OrderHeader": _schema(
-        "OrderId int, CustomerId int, SalesPersonId short, OrderDate ts, ShipDate ts, "
+        "OrderId long, CustomerId long, SalesPersonId long, OrderDate ts, ShipDate ts, "
         "CustomerPurchaseOrderNumber string, SiteId short"
     ),
     "Stg_OrderLine": _schema(
-        "OrderLineId int, OrderId int, StockItemId int, Quantity int, UnitPrice dec182, "
+        "OrderLineId long, OrderId long, StockItemId long, Quantity int, UnitPrice dec182, "
         "TaxRate dec52, ItemPickedDate ts, SiteId short"
     ),
     # site 2
@@ -80,34 +82,34 @@ STAGING: dict[str, T.StructType] = {
         "Country string, SiteId short"
     ),
     "Stg_Employees": _schema(
-        "EmployeeID short, FirstName string, LastName string, JobTitle string, "
+        "EmployeeID long, FirstName string, LastName string, JobTitle string, "
         "BirthDate ts, HireDate ts, TerminationDate ts, HomePhone string, Address string, "
         "City string, StateOrRegion string, PostalCode string, Country string, "
-        "EmailAddress string, ReportsTo int, Notes string, SiteId short"
+        "EmailAddress string, ReportsTo long, Notes string, SiteId short"
     ),
     "Stg_Suppliers": _schema(
-        "SupplierID int, CompanyName string, ContactName string, ContactTitle string, "
+        "SupplierID long, CompanyName string, ContactName string, ContactTitle string, "
         "Phone string, Address string, City string, StateOrRegion string, "
         "PostalCode string, Country string, SiteId short"
     ),
     "Stg_Territories": _schema(
-        "TerritoryID string, TerritoryDescription string, RegionID short, SiteId short"
+        "TerritoryID string, TerritoryDescription string, RegionID long, SiteId short"
     ),
-    "Stg_EmployeeTerritories": _schema("EmployeeID short, TerritoryID string"),
+    "Stg_EmployeeTerritories": _schema("EmployeeID long, TerritoryID string"),
     "Stg_Products": _schema(
-        "ProductID int, ProductName string, CategoryID int, SupplierID int, "
+        "ProductID long, ProductName string, CategoryID long, SupplierID long, "
         "QuantityPerUnit string, UnitPrice dec52, WholesalePrice dec52, UnitsInStock int, "
         "UnitsOnOrder int, ReorderLevel int, Discontinued bool, SiteId short"
     ),
-    "Stg_Categories": _schema("CategoryID int, CategoryName string, Description string"),
+    "Stg_Categories": _schema("CategoryID long, CategoryName string, Description string"),
     "Stg_Orders": _schema(
-        "OrderID int, CustomerID string, EmployeeID short, OrderDate ts, RequiredDate ts, "
-        "ShipVia int, Freight dec194, ShipAddress string, ShipCity string, "
+        "OrderID long, CustomerID string, EmployeeID long, OrderDate ts, RequiredDate ts, "
+        "ShipVia long, Freight dec194, ShipAddress string, ShipCity string, "
         "ShipStateOrRegion string, ShipPostalCode string, ShipCountry string, SiteId short"
     ),
-    "Stg_Shippers": _schema("ShipperID int, CompanyName string, Phone string"),
+    "Stg_Shippers": _schema("ShipperID long, CompanyName string, Phone string"),
     "Stg_OrderDetails": _schema(
-        "OrderID int, ProductID int, Quantity int, UnitPrice dec182, Discount dec52, SiteId short"
+        "OrderID long, ProductID long, Quantity int, UnitPrice dec182, Discount dec52, SiteId short"
     ),
 }
 

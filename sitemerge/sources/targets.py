@@ -3,7 +3,8 @@
 Types follow the target DDL mapped to Spark: tinyint and smallint become
 ``short`` (tinyint is unsigned 0-255, Spark's byte is signed), ``datetime``
 becomes ``timestamp_ntz``, ``money`` ``decimal(19,4)`` and a bare ``decimal``
-``decimal(18,0)``.  Text widths are kept as column metadata (``width``); Spark
+``decimal(18,0)``.  Source and surrogate keys are stored as ``long`` whatever the
+DDL's width, so that no load fails by size.  Text widths are kept as column metadata (``width``); Spark
 neither cuts nor rejects over-long strings, so ``operators.quality.check_length``
 enforces them.
 
@@ -13,11 +14,13 @@ width (101: two 50-character lines and the joining blank) is our choice.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
 SHORT = T.ShortType()
+LONG = T.LongType()
 INT = T.IntegerType()
 STR = T.StringType()
 TS = T.TimestampNTZType()
@@ -34,9 +37,15 @@ class Col:
     dtype: T.DataType
     width: int | None = None
 
+    @property
+    def stored(self) -> T.DataType:
+        """``dtype`` is the DDL's type; source and surrogate keys are stored as ``long``."""
+        whole = isinstance(self.dtype, (T.ShortType, T.IntegerType))
+        return LONG if whole and re.fullmatch(r"(ODS|orig)_\w+_id", self.name) else self.dtype
+
     def field(self) -> T.StructField:
         meta = {"width": self.width} if self.width else {}
-        return T.StructField(self.name, self.dtype, True, meta)
+        return T.StructField(self.name, self.stored, True, meta)
 
 
 @dataclass(frozen=True)
@@ -371,7 +380,7 @@ def create_table_sql(table: Table, name: str | None = None, location: str | None
     hold no constraints."""
     cols = []
     for c in table.cols:
-        typ = f"VARCHAR({c.width})" if c.width else c.dtype.simpleString().upper()
+        typ = f"VARCHAR({c.width})" if c.width else c.stored.simpleString().upper()
         cols.append(f"  `{c.name}` {typ}")
     loc = f"\nLOCATION '{location}'" if location else ""
     pk = ", ".join(table.pk)

@@ -31,3 +31,30 @@ def test_keyless_rows_go_round_the_update(spark):
     assert before.where(keyless).count() > 0
     assert after.where(keyless).exceptAll(before.where(keyless)).count() == 0
     assert before.count() == after.count()
+
+
+def test_keys_beyond_the_declared_widths(spark, tmp_path):
+    """User ids past 16 bits, order keys past 32: every row arrives, and the report counts the excess."""
+    from sitemerge.plans.checks import q_range
+    from sitemerge.plans.pipeline import run_pipeline
+    from sitemerge.sources.fixtures import TEST_TABLES, derive_staging
+
+    grow = {"events": ("user_id", 100 * 1500), "orders": ("o_orderkey", 100 * 60_000_000),
+            "lineitem": ("l_orderkey", 100 * 60_000_000)}
+    for t in TEST_TABLES:
+        df = spark.read.parquet(f"{SMALL}/{t}.parquet")
+        if t in grow:
+            key, by = grow[t]
+            df = df.withColumn(key, F.col(key).cast("long"))
+            df = df.unionByName(df.withColumn(key, F.col(key) + by))
+        df.write.parquet(str(tmp_path / f"{t}.parquet"))
+    names = ["employee", "order", "order_detail"]
+    base = run_pipeline(spark, derive_staging(spark, SMALL), load_ts="2024-11-24 00:00:00")
+    wide = run_pipeline(spark, derive_staging(spark, str(tmp_path)), load_ts="2024-11-24 00:00:00")
+    for n in names:
+        assert wide[n].count() == 2 * base[n].count() > 0, n
+    assert wide["employee"].agg(F.max("orig_employee_id")).first()[0] > 150_000
+    assert wide["order_detail"].agg(F.max("orig_order_detail_id")).first()[0] > 60_000_000_000
+    out = {r["source"]: r["out_of_range"] for r in q_range(spark, str(tmp_path)).collect()
+           if r["target_type"] == "smallint" and r["source"] != "Stg_Region"}
+    assert sum(out.values()) * 2 == wide["employee"].count()
