@@ -1,7 +1,8 @@
 """The corpus pipeline: five operators in turn over all documents.
 
-1. language_id: documents without letters (``und``) or that no language family's
-   machine accepts go; ``lang`` becomes the predicted language.
+1. language_id: documents without letters (``und``), that no language family's
+   machine accepts, or whose letters are far from those of every learned language
+   (an unlearned language, gibberish) go; ``lang`` becomes the predicted language.
 2. line_dedup: lines found in ten documents or more go; ``n_chars`` follows.
 3. near_dedup: of each group of near copies the smallest doc_id stays.
 4. mixing: sources are drawn to their target weights; a document drawn
@@ -23,14 +24,16 @@ from sitemerge.llm.common import cut, table
 from sitemerge.llm.queries import vocabulary
 
 LEAST_SCORE = 0.5  # below it, the best family's machine says no
+LEAST_FIT = -8.0  # spreads below a language's median text; see langid
 
 ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = langid.train(docs)
-    told = langid.predict(docs, model, out=("_lang", "_score"))
-    kept = told.where((F.col("_lang") != langid.UND) & (F.col("_score") >= LEAST_SCORE))
+    model = langid.train(docs, fits=True)
+    told = langid.predict(docs, model, out=("_lang", "_score", "_fit"))
+    kept = told.where((F.col("_lang") != langid.UND) & (F.col("_score") >= LEAST_SCORE)
+                      & (F.col("_fit") >= LEAST_FIT))
     return kept.withColumn("lang", F.col("_lang")).select(*docs.columns)
 
 

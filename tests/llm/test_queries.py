@@ -154,3 +154,25 @@ def test_pipeline(spark, docs):
     kept = {r["doc_id"] for r in c.language_id(spark, spark.read.parquet(f"{SMALL}/documents.parquet"), SMALL)
             .select("doc_id").collect()}
     assert kept == {i for i, t, *_ in docs if re.search(r"[^\W\d_]", t or "")}
+
+
+def test_pipeline_rejects_unlearned_languages(spark, docs):
+    import corpus_pipeline as c
+
+    strange = ["Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и "
+               "совестью и должны поступать в отношении друг друга в духе братства.",
+               "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+               "xqzv kjwq pzxk vvqj wkzx qqjx zkpw xvzq jkqw pvxz qkzj wxvq zzkq jpxw qvkz xwqj kzpv qxzw jvkq"]
+    known = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for held in (None, "es"):
+        # texts of the held-out language carry no label, so nothing is learned from them
+        table = known.withColumn("lang", F.when(F.col("lang") != held, F.col("lang"))) if held else known
+        extra = [(-1 - i, t) for i, t in enumerate(strange)]
+        more = table.unionByName(spark.createDataFrame(extra, "doc_id long, text string"), allowMissingColumns=True)
+        kept = {r[0] for r in c.language_id(spark, more, SMALL).select("doc_id").collect()}
+        assert not kept & {i for i, _ in extra}
+        clean = {i for i, t, lang, _ in docs if lang != held and re.search(r"[^\W\d_]", t or "")}
+        assert clean <= kept
+        if held:
+            rest = {i for i, _, lang, _ in docs if lang == held}
+            assert len(rest & kept) <= 0.1 * len(rest)
