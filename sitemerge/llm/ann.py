@@ -241,7 +241,7 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int, p: GraphPa
             qs, qids = _matrix(asked.field("v")), asked.field("id").to_pylist()
             found, _ = beam_search(unit_rows(x).astype(np.float32), edges, entries,
                                    unit_rows(qs).astype(np.float32), min(p.beam, len(x)))
-            for qid, vector, nodes in zip(qids, qs, found[:, :k + 2]):
+            for qid, vector, nodes in zip(qids, qs, found):
                 nodes = nodes[nodes >= 0]
                 best = sorted((-s, i) for s, node in zip(cosines(x[nodes], vector).tolist(), nodes.tolist())
                               for i in ids[node] if i != qid)[:k]

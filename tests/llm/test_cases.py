@@ -177,6 +177,20 @@ def test_nearest_cases(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_nearest_among_tight_copies(spark):
+    rng = np.random.default_rng(5)
+    seed = rng.normal(size=16)
+    tight = [seed * 2.0 ** (i % 7) * (1 + 1e-5 * rng.normal(size=16)) for i in range(30)]
+    x = np.array([*rng.normal(size=(150, 16)), *tight])
+    got = {}
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    for r in ann.nearest(df, df.where("vec_id between 170 and 179"), k=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    for i in range(170, 180):
+        sims = ann.cosines(x, x[i])
+        assert got[i] == [j for j in sorted(range(len(x)), key=lambda j: (-sims[j], j)) if j != i][:5]
+
+
 def test_mix_cases(spark):
     df = frame(spark, ROWS)
     rows = mixing.mix_plan(df).collect()
