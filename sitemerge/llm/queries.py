@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, langid, licenses, lines, minhash, mixing, pivots, urls
+from . import ann, bpe, chat, langid, licenses, lines, minhash, mixing, periodic, pivots, spelling, urls
 from .common import table
 
 TOKENIZER_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -114,6 +114,52 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def with_typo(doc_id, run):
+    """The run without code point h % length where 199 divides h, the crc32 of ``<doc_id>:<run>``."""
+    h = F.crc32(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), run).cast("binary"))
+    at = (h % F.length(run)).cast("int")
+    shorter = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))
+    return F.when(h % 199 == 0, shorter).otherwise(run)
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    runs = spelling.runs_of_letters(docs, least=6)  # a typo only shortens
+    words = spelling.frequent_words(runs, with_typo(F.col("doc_id"), F.col("run")), min_length=6, min_count=5)
+    return spelling.group_variants(words, factor=5)
+
+
+def with_loops(docs: DataFrame) -> DataFrame:
+    """Documents whose h % 10 is 0 (h the crc32 of the id) repeat from word a = g % n on
+    the next p words, with g = h div 10 and p = 1 + (n - a) div (3 + g % 8)."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    looped = (h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return (docs.withColumn("g", F.floor(h / 10)).withColumn("w", F.when(looped, words))
+            .withColumn("a", F.expr("cast(g % size(w) as int)"))
+            .withColumn("p", F.expr("cast(1 + (size(w) - a) div (3 + g % 8) as int)"))
+            .withColumn("loops", F.expr("flatten(array_repeat(slice(w, a + 1, p), cast(ceil((size(w) - a) / p) as int)))"))
+            .withColumn("text", F.expr("""if(w is null, text,
+                array_join(concat(slice(w, 1, a), slice(loops, 1, size(w) - a)), ' '))"""))
+            .select(*docs.columns))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_loops(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.find_runs(docs, min_length=24, min_times=3)
+    # runs come by start, then period, so of equal exponents the first stays
+    best = F.expr("""aggregate(runs, runs[0], (b, r) ->
+        if(r.length * b.period > b.length * r.period, r, b))""")
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.when(F.size("runs") > 0, best).alias("b"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "b.start", "b.length", "b.period",
+        F.expr("b.length * 1000 div b.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -126,6 +172,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_dedup": op8_minhash_dedup,
         "op9_language_id": op9_language_id,
         "op10_nearest": op10_nearest,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
