@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, langid, licenses, lines, minhash, mixing, periodic, pivots, spelling, urls
+from . import ann, bpe, chat, extract, langid, licenses, lines, minhash, mixing, periodic, pivots, spelling, urls
 from .common import table
 
 TOKENIZER_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -129,6 +129,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(words, factor=5)
 
 
+def op12_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def with_loops(docs: DataFrame) -> DataFrame:
     """Documents whose h % 10 is 0 (h the crc32 of the id) repeat from word a = g % n on
     the next p words, with g = h div 10 and p = 1 + (n - a) div (3 + g % 8)."""
@@ -173,6 +178,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language_id": op9_language_id,
         "op10_nearest": op10_nearest,
         "op11_spelling_variants": op11_spelling_variants,
+        "op12_html_extract": op12_html_extract,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
@@ -277,5 +283,20 @@ SELECT page_id, host, path, rule,
 FROM ruled JOIN h2 USING (host)"""
 
 
+def op12_sql() -> str:
+    """The given tables' pages hold their text in one ``article`` element; this
+    states the text of such pages (of a page cut short, up to the cut)."""
+    return r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's') AS t FROM pages),
+b AS (SELECT page_id, url, regexp_replace(t, '<[^>]*$', '') AS t FROM a),
+c AS (SELECT page_id, url, regexp_replace(t, '</?(p|h1|br)( [^>]*)?>', ' ', 'g') AS t FROM b),
+d AS (SELECT page_id, url, regexp_replace(t, '<[^>]*>', '', 'g') AS t FROM c),
+e AS (SELECT page_id, url, replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"') AS t FROM d),
+f AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(t, '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM e)
+SELECT page_id, url, text, length(text) AS n_chars FROM f"""
+
+
 def llm_oracle() -> dict[str, str]:
-    return {"op1_chat_format": op1_sql(), "op2_line_dedup": op2_sql(), "op5_url_filter": op5_sql()}
+    return {"op1_chat_format": op1_sql(), "op2_line_dedup": op2_sql(), "op5_url_filter": op5_sql(),
+            "op12_html_extract": op12_sql()}
