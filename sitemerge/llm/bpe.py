@@ -20,7 +20,8 @@ columns are passed on.
 from __future__ import annotations
 
 import base64
-import heapq
+from array import array
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import giving_back, long_list, text_slices
 
-MEMO_LIMIT = 150_000  # pre-tokens a task remembers before it starts anew
+MEMO_LIMIT = 150_000  # pre-tokens of a generation; a task remembers this one and the one before
 MASK = (1 << 64) - 1
 ODD = 0x9E3779B97F4A7C15
 
@@ -109,32 +110,23 @@ class PerfectHash:
 
 def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a pre-token by merging neighbours, lowest rank first."""
-    n = len(piece)
-    end = list(range(1, n + 1))  # end[i]: where the part that starts at i ends
-    prev = list(range(-1, n - 1))
-    alive = [True] * n
-    heap = []
-
-    def offer(i):
-        j = end[i]
-        if j < n:
-            r = ranks.get(piece[i:end[j]])
-            if r is not None:
-                heapq.heappush(heap, (r, i, j, end[j]))
-
-    for i in range(n - 1):
-        offer(i)
+    n, get = len(piece), ranks.get
+    # end[i]: where the part that starts at i ends, and so its successor starts;
+    # -1 where none starts any more
+    end = list(range(1, n + 1))
+    prev = list(range(-1, n))
+    heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := get(piece[i:i + 2])) is not None]
+    heapify(heap)
     while heap:
-        _, i, j, e = heapq.heappop(heap)
-        if not alive[i] or end[i] != j or not alive[j] or end[j] != e:
+        _, i, j, e = heappop(heap)
+        if end[i] != j or end[j] != e:
             continue
-        alive[j] = False
-        end[i] = e
-        if e < n:
-            prev[e] = i
-        offer(i)
-        if prev[i] >= 0:
-            offer(prev[i])
+        end[j], end[i], prev[e] = -1, e, i
+        if e < n and (r := get(piece[i:end[e]])) is not None:
+            heappush(heap, (r, i, e, end[e]))
+        h = prev[i]
+        if h >= 0 and (r := get(piece[h:e])) is not None:
+            heappush(heap, (r, h, i, e))
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i:end[i]]])
@@ -143,17 +135,36 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Memo(dict):
-    """Pre-token -> row number; new ones queue in ``fresh``."""
+    """Pre-token -> row number, and the ids of each row; new ones queue in ``fresh``.
 
-    def __init__(self):
+    ``older`` is the generation before, which ends when this one is full."""
+
+    def __init__(self, older: _Memo | None = None):
         super().__init__()
         self.fresh: list[str] = []
+        self.ids, self.starts = array("i"), array("q", [0])
+        self.older = older
+        if older is not None:
+            older.older = None
 
     def __missing__(self, piece):
         i = self[piece] = len(self)
         self.fresh.append(piece)
         return i
 
+    def settle(self, ids_of) -> None:
+        """Find the ids of the fresh pieces, in the older generation first."""
+        old = self.older if self.older is not None else {}
+        unknown = iter(ids_of([p.encode() for p in self.fresh if p not in old]))
+        for p in self.fresh:
+            if p in old:
+                i = old[p]
+                self.ids += old.ids[old.starts[i]:old.starts[i + 1]]
+            else:
+                self.ids.extend(next(unknown))
+            self.starts.append(len(self.ids))
+        self.fresh = []
+
 
 class Vocabulary:
     """Ranks, their perfect hash and the pre-token pattern; goes to the tasks."""
@@ -180,19 +191,17 @@ class Vocabulary:
         pattern = self.pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(
             r"(?!\S)", r"(?!\P{White_Space})").replace(r"\s", r"\p{White_Space}")
         split = regex.compile(pattern).findall
-        memo, flat, starts = _Memo(), [], [0]
+        memo = _Memo()
         for batch in batches:
             for part in text_slices(batch, text, 1 << 20):
-                lens, rows = [], []
+                lens, rows = [], array("q")
                 for t in part.column(text).to_pylist():
-                    found = list(map(memo.__getitem__, split(t))) if t else []
-                    rows += found
-                    lens.append(len(found))
-                for ids in self.ids_of([p.encode() for p in memo.fresh]):
-                    flat += ids
-                    starts.append(len(flat))
-                memo.fresh = []
-                edges, ids = np.array(starts, dtype=np.int64), np.array(flat, dtype=np.int32)
+                    before = len(rows)
+                    if t:
+                        rows.extend(map(memo.__getitem__, split(t)))
+                    lens.append(len(rows) - before)
+                memo.settle(self.ids_of)
+                edges, ids = np.array(memo.starts, dtype=np.int64), np.array(memo.ids, dtype=np.int32)
                 at = np.array(rows, dtype=np.int64)
                 size = edges[at + 1] - edges[at]
                 ends = np.cumsum(size)
@@ -203,7 +212,7 @@ class Vocabulary:
                     [*part.columns, long_list(ids[token], per_row, pa.int32())],
                     names=[*part.schema.names, out])
                 if len(memo) > MEMO_LIMIT:
-                    memo, flat, starts = _Memo(), [], [0]
+                    memo = _Memo(memo)
 
     def decode_batches(self, batches, ids: str, out: str):
         unknown = "�".encode()
