@@ -105,7 +105,11 @@ def update_summary(spec: UpdateSpec) -> DataFrame:
 
 
 def apply_update(state: DataFrame, spec: UpdateSpec, table: Table, load_ts: Column) -> DataFrame:
-    """The target state after one update statement."""
+    """The target state after one update statement.
+
+    Columns of ``state`` beyond the table's own are carried along; ``_hit``, if it
+    is there, turns true where the statement changes the row."""
+    extra = [c for c in state.columns if c not in table.names]
     summary = update_summary(spec)
     keys = [f"_k{i}" for i in range(len(spec.match))]
     cond = [F.col(tcol) == F.col(k) for (_, tcol), k in zip(spec.match, keys)]
@@ -138,8 +142,9 @@ def apply_update(state: DataFrame, spec: UpdateSpec, table: Table, load_ts: Colu
             out.append(F.when(hit, load_ts).otherwise(F.col(c.name)).alias(c.name))
         else:
             out.append(F.col(c.name))
+    out += [(F.col(c) | hit).alias(c) if c == "_hit" else F.col(c) for c in extra]
     updated = joined.select(*out)
-    return updated if keyless is None else updated.unionByName(keyless.select(*table.names))
+    return updated if keyless is None else updated.unionByName(keyless.select(*table.names, *extra))
 
 
 def to_target(df: DataFrame, table: Table, columns: list[str] | None = None) -> DataFrame:

@@ -840,6 +840,20 @@ def _order_detail_arm(driver, line_key, order_col, product_col, tax, picked, dis
     return build
 
 
+# Staging keys of the loads whose updates and arms match the own table on its
+# source key only (address arms match texts, employee territories id pairs).
+STAGED_KEYS: dict[str, list[tuple[str, str]]] = {
+    "region": [("Stg_Region", "RegionID")],
+    "customer": [("Stg_Customer", "cast(CustomerId as string)"), ("Stg_Customers", "CustomerID")],
+    "employee": [("Stg_SalesPerson", "SalesPersonId"), ("Stg_Employees", "EmployeeID")],
+    "supplier": [("Stg_Supplier", "SupplierId"), ("Stg_Suppliers", "SupplierID")],
+    "territory": [("Stg_Territories", "TerritoryID")],
+    "product": [("Stg_StockItem", "StockItemId"), ("Stg_Products", "ProductID")],
+    "order": [("Stg_OrderHeader", "OrderId"), ("Stg_Orders", "OrderID")],
+    "order_detail": [("Stg_OrderLine", "OrderLineId"), ("Stg_OrderDetails", "OrderID")],
+}
+
+
 # --------------------------------------------------------------------------- registry
 
 LOADS: dict[str, Load] = {

@@ -65,11 +65,15 @@ def _tracked(name: str) -> set[str]:
     return TRACKED[name]
 
 
+def matches_changed_columns(name: str) -> bool:
+    """Whether an arm of the load matches on a column its updates set."""
+    return bool(_tracked(name) & _ANTI_KEYS.get(name, {TABLES[name].orig_col}))
+
+
 def _anti_target(ctx: Ctx, name: str, updated: DataFrame) -> DataFrame | None:
     if name in ctx.empty:  # every row is new
         return None
-    keys = _ANTI_KEYS.get(name, {TABLES[name].orig_col})
-    return updated if _tracked(name) & keys else ctx.state[name]
+    return updated if matches_changed_columns(name) else ctx.state[name]
 
 
 def arm_rows(ctx: Ctx, name: str, arm: str) -> DataFrame:

@@ -14,6 +14,7 @@ width (101: two 50-character lines and the joining blank) is our choice.
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass, field
 
@@ -371,6 +372,14 @@ def empty_state(spark, table: Table):
     return spark.createDataFrame([], table.schema)
 
 
+def contract(table: Table) -> str:
+    """What a published state promises, as JSON: column names, stored types and text
+    widths in order, and the primary key."""
+    return json.dumps({
+        "columns": [{"name": c.name, "type": c.stored.simpleString(), "width": c.width} for c in table.cols],
+        "pk": list(table.pk)})
+
+
 def create_table_sql(table: Table, name: str | None = None, location: str | None = None) -> str:
     """``CREATE TABLE ... USING parquet`` for a target table (SNK-DDL).
 
