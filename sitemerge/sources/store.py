@@ -98,6 +98,7 @@ class Commit:
 class Store:
     def __init__(self, spark: SparkSession, root: str, ranges: int = RANGES):
         self.spark, self.root, self.target_ranges = spark, root.rstrip("/"), ranges
+        self._whole: dict[tuple, DataFrame] = {}  # listed once: files of a state never change
 
     # ---- records
 
@@ -154,11 +155,13 @@ class Store:
     def read(self, state: TableState | None, table: Table, ranges: set[str] | None = None) -> DataFrame:
         """The table's rows and their ``key_range``; of some ranges only, if given.
 
-        The filter is on the folders' partition columns, so other ranges are not listed
-        as scan input, let alone read."""
+        The filter is on the folders' partition columns, so the files of other ranges
+        are no input of the scan."""
         if state is not None and state.contract != contract(table):
             raise StateError(f"published state of {table.name} differs from its declaration: "
                              + "; ".join(_differences(json.loads(state.contract), json.loads(contract(table)))))
+        if ranges is None and (state, table) in self._whole:
+            return self._whole[state, table]
         folders: dict[str, set[str]] = {}
         for key_range, folder, _ in state.pieces if state else ():
             if ranges is None or key_range in ranges:
@@ -173,7 +176,10 @@ class Store:
         here = F.lit(False)
         for folder, some in sorted(folders.items()):
             here = here | ((F.col("write") == folder) & F.col("key_range").isin(sorted(some)))
-        return rows.where(here).drop("write")
+        rows = rows.where(here).drop("write")
+        if ranges is None:
+            self._whole[state, table] = rows
+        return rows
 
     def with_range(self, df: DataFrame, table: Table, width: int) -> DataFrame:
         key = F.col(key_column(table))

@@ -19,8 +19,8 @@ from .conftest import SMALL
 TS, LATER = "2024-11-24 00:00:00", "2024-11-25 00:00:00"
 
 
-def same(a, b):
-    return Counter(map(tuple, a.select(b.columns).collect())) == Counter(map(tuple, b.collect()))
+def rows_of(states, names=ORDER):
+    return {n: Counter(map(tuple, states[n].select(TABLES[n].names).collect())) for n in names}
 
 
 def data_files(root):
@@ -33,6 +33,12 @@ def fx(spark):
     return fixture(spark, SMALL)
 
 
+@pytest.fixture(scope="module")
+def rewritten(spark, fx):
+    """The tables after a run that rewrites them whole."""
+    return {n: Counter(map(tuple, df.collect())) for n, df in run_pipeline(spark, fx["stg"], fx["prior"], TS).items()}
+
+
 @pytest.fixture(scope="module")
 def settled(spark, fx, tmp_path_factory):
     """A store after one strict run on an empty ODS."""
@@ -41,15 +47,16 @@ def settled(spark, fx, tmp_path_factory):
     return store
 
 
-@pytest.mark.parametrize("strict", [False, True])
-def test_equals_the_whole_rewrite(spark, fx, tmp_path, strict):
-    options = Options(strict=strict)
+def test_equals_the_whole_rewrite(spark, fx, rewritten, tmp_path):
     store = Store(spark, str(tmp_path), ranges=8)
     publish_states(store, fx["prior"], "prior", PRIOR_TS)
-    got = read_states(store, run_stored(spark, fx["stg"], store, TS, options).tables)
-    want = run_pipeline(spark, fx["stg"], fx["prior"], TS, options)
-    for name in ORDER:
-        assert same(got[name], want[name]), name
+    done = run_stored(spark, fx["stg"], store, TS)
+    assert rows_of(read_states(store, done.tables)) == rewritten
+
+
+def test_strict_equals_the_whole_rewrite(spark, fx, settled):
+    want = run_pipeline(spark, fx["stg"], load_ts=TS, options=Options(strict=True))
+    assert rows_of(read_states(settled, settled.current().tables)) == rows_of(want)
 
 
 def test_strict_rerun_writes_no_state_file(spark, fx, settled):
@@ -104,10 +111,10 @@ class Stopped(Exception):
     pass
 
 
-@pytest.mark.parametrize("stop_at", ["customer", "order", "commit"])
-def test_broken_run_and_restart(spark, fx, tmp_path, monkeypatch, stop_at):
+@pytest.mark.parametrize("stop_at", ["customer", "commit"])
+def test_broken_run_and_restart(spark, fx, rewritten, tmp_path, monkeypatch, stop_at):
     root = str(tmp_path)
-    store = Store(spark, root)
+    store = Store(spark, root, ranges=4)
     publish_states(store, fx["prior"], "prior", PRIOR_TS)
     prior = store.current()
 
@@ -136,9 +143,7 @@ def test_broken_run_and_restart(spark, fx, tmp_path, monkeypatch, stop_at):
         after = run_stored(spark, fx["stg"], Store(spark, root), LATER, run_id="r1")
     assert after.load_ts == TS and stop_at not in (set(ORDER) - set(loaded)) and "region" not in loaded
     assert (loaded == []) == (stop_at == "commit")
-    got, want = read_states(store, after.tables), run_pipeline(spark, fx["stg"], fx["prior"], TS)
-    for name in ORDER:
-        assert same(got[name], want[name]), name
+    assert rows_of(read_states(store, after.tables)) == rewritten
     # a committed run is not run again
     assert run_stored(spark, fx["stg"], store, LATER, run_id="r1") == store.current() == after
 
@@ -205,6 +210,27 @@ def test_staged_keys_name_what_the_updates_match(spark, fx):
                 assert build(ctx).match[0][1] == TABLES[name].orig_col
 
 
+def test_command_line_on_staging_files(spark, fx, rewritten, tmp_path, capsys):
+    """Staging files read with their declared schemas, loaded and committed."""
+    from sitemerge.cli import main
+    from sitemerge.sources.staging import STAGING, read_staging
+
+    staging, root = str(tmp_path / "staging"), str(tmp_path / "store")
+    for name, df in fx["stg"].items():
+        # another column order and one column more, as files of a source system may have
+        df.select(*reversed(df.columns), F.lit(1).alias("extra")).write.parquet(f"{staging}/{name}.parquet")
+    read = read_staging(spark, staging)
+    assert {n: read[n].schema for n in STAGING} == STAGING
+    store = Store(spark, root, ranges=4)
+    publish_states(store, fx["prior"], "prior", PRIOR_TS)
+    main(["--staging", staging, "--store", root, "--load-ts", TS, "--run", "cli"])
+    out = capsys.readouterr().out
+    assert out.startswith("run=cli\n") and out.endswith("commit=2\n")
+    assert store.current().run == "cli" and rows_of(read_states(store, store.current().tables)) == rewritten
+    main(["--staging", staging, "--store", root, "--strict", "--tables", "site,region"])
+    assert store.current().seq == 3 and store.current().tables["order"] == store.current().tables["order"]
+
+
 def test_counts(spark, fx, settled):
     got = read_states(settled, settled.current().tables)
     rows = {r["table_name"]: r["rows"] for r in pipeline_counts(got, got, TS).collect()}
