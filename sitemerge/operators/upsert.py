@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import null_default
 from ..sources.targets import Table
 from .keys import assign_ids, max_id
+from .skew import heavy_keys, join_one_per_key
 
 
 @dataclass(frozen=True)
@@ -81,6 +82,7 @@ class UpdateSpec:
     match: list  # [(source expression, target column)]
     tracks: list[Track]
     null_keys: bool = False  # the target holds many rows without a key
+    repeats: bool = False  # the target may hold a key any number of times
 
 
 def _struct(cols: list[Column], prefix: str) -> Column:
@@ -112,7 +114,6 @@ def apply_update(state: DataFrame, spec: UpdateSpec, table: Table, load_ts: Colu
     extra = [c for c in state.columns if c not in table.names]
     summary = update_summary(spec)
     keys = [f"_k{i}" for i in range(len(spec.match))]
-    cond = [F.col(tcol) == F.col(k) for (_, tcol), k in zip(spec.match, keys)]
     # rows without a key match nothing: they go round the join, which would
     # send them all to one task
     keyless = None
@@ -120,7 +121,14 @@ def apply_update(state: DataFrame, spec: UpdateSpec, table: Table, load_ts: Colu
         has_key = reduce(and_, [F.col(tcol).isNotNull() for _, tcol in spec.match])
         keyless = state.where(~has_key)
         state = state.where(has_key)
-    joined = state.join(summary, cond, "left")
+    on = [(tcol, k) for (_, tcol), k in zip(spec.match, keys)]
+    heavy, salts = [], int(state.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if spec.repeats:
+        # types as the join compares them, so that both sides hash alike
+        types = {f.name: f.dataType for f in state.schema}
+        summary = summary.select(*(F.col(k).cast(types[t]).alias(k) for t, k in on), "_f", "_s")
+        heavy = heavy_keys(state, [F.col(t) for t, _ in on], share=1 / (4 * salts))
+    joined = join_one_per_key(state, summary, on, heavy, [table.id_col or table.pk[0]], salts)
     n = len(spec.tracks)
     target_in_first = reduce(
         and_, [spec.tracks[i].tgt_cmp.eqNullSafe(F.col(f"_f._c.c{i}")) for i in range(n)]

@@ -772,6 +772,7 @@ def _u_order_detail_1(ctx: Ctx) -> UpdateSpec:
                          ("unit_price", "UnitPrice", "price"),
                          ("tax_rate", "TaxRate", "count"),
                          ("item_picked_date", "ItemPickedDate", "date")]),
+        repeats=True,
     )
 
 
@@ -788,7 +789,7 @@ def _u_order_detail_2(ctx: Ctx) -> UpdateSpec:
     else:
         src = _gate_order_product(ctx, src, "OrderID", "ProductID")
         match = [("OrderID", "orig_order_detail_id")]
-    return UpdateSpec("u_order_detail_2", src, match, _od_tracks(ctx, items))
+    return UpdateSpec("u_order_detail_2", src, match, _od_tracks(ctx, items), repeats=True)
 
 
 def _od_tracks(ctx: Ctx, items) -> list:
