@@ -1,7 +1,8 @@
 """DuckDB statements that state the expected result of each registered query.
 
-They are written from the shape of the original load statements (LEFT JOIN
-plus IS NULL, ISNULL as COALESCE, UNION), not from the Spark plans, and run on
+One generator turns the rules of :mod:`.rules` (what each load moves) into statements
+with key maps as named sub-selects, NOT EXISTS and DISTINCT ON; they share no code with
+the Spark plans beyond the declared tables and run on
 the driver's raw test tables (views ``region``, ``nation``, ``customer`` ...).
 """
 

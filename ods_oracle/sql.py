@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from sitemerge.sources.targets import TABLES
 
+from .rules import CHANGES, INSERTS, Change, Insert, Map
+
 LOAD_TS = "TIMESTAMP '2024-11-24 00:00:00'"
 PRIOR_TS = "TIMESTAMP '2024-01-01 00:00:00'"
 DATE_SENTINEL = "TIMESTAMP '1900-01-01 00:00:00'"
@@ -231,330 +233,87 @@ STAGING = {
 # name to the CTE holding its current state.
 
 
-class Arm:
-    def __init__(self, prior: bool, S: dict[str, str]):
-        self.prior = prior
-        self.S = S
-        self.ts = PRIOR_TS if prior else LOAD_TS
-
-    def pert(self, col: str, n: str) -> str:
-        if not self.prior:
-            return col
-        return (f"CASE WHEN ({n}) % 11 = 0 THEN NULL WHEN ({n}) % 7 = 0 THEN {col} || ' old' "
-                f"ELSE {col} END")
-
-    def where(self, n: str, anti: str, extra: list[str] | None = None) -> str:
-        conds = list(extra or [])
-        conds.append(f"({n}) % 5 <> 0" if self.prior else anti)
-        return "WHERE " + " AND ".join(conds)
-
-    def anti(self, join: str) -> str:
-        return "" if self.prior else join
-
-    def audit(self, last_update: str = "NULL") -> str:
-        lu = "NULL" if self.prior else last_update
-        return f"{self.ts} AS date_created, CAST({lu} AS TIMESTAMP) AS last_update"
-
-
-def arm_site(a: Arm) -> str:
-    # The two source systems as the site load declares them.
-    n = "sites.site_id"
-    base = "(VALUES (1, 'SouthwindSales'), (2, 'NW_Traders_Sales')) AS sites(site_id, name)"
-    if a.prior:
-        return (f"SELECT CAST(sites.site_id AS SMALLINT) AS site_id, sites.name, {a.audit()} "
-                f"FROM {base} WHERE {n} = 1")
-    return (f"SELECT CAST(sites.site_id AS SMALLINT) AS site_id, sites.name, {a.audit()} FROM {base} "
-            f"WHERE NOT EXISTS (SELECT 1 FROM {a.S['site']} s WHERE s.site_id = sites.site_id)")
-
-
-def arm_region(a: Arm) -> str:
-    n = "src.RegionID"
-    return f"""SELECT DISTINCT src.RegionID AS orig_region_id,
-        {a.pert('src.RegionDescription', n)} AS description, {a.audit()}
-        FROM Stg_Region src
-        {a.anti(f"LEFT JOIN {a.S['region']} tgt ON src.RegionID = tgt.orig_region_id")}
-        {a.where(n, 'tgt.ODS_region_id IS NULL')}"""
-
-
-def arm_address_a(a: Arm) -> str:
-    n = "src.AddressId"
-    return f"""SELECT DISTINCT src.AddressId AS orig_address_id,
-        CONCAT(src.AddressLine1, ' ', src.AddressLine2) AS full_address,
-        {a.pert('src.City', n)} AS city, src.State AS state, src.ZipCode AS postal_code,
-        CAST(NULL AS VARCHAR) AS country, {a.audit()}, src.RecordOrigSiteId AS site_id
-        FROM Stg_Address src
-        {a.anti(f"LEFT JOIN {a.S['address']} tgt ON src.AddressId = tgt.orig_address_id")}
-        {a.where(n, 'tgt.ODS_address_id IS NULL')}"""
-
-
-def _arm_address_text(stg, addr, city, state, postal, country, n, not_null=False, by_country=False):
-    def build(a: Arm) -> str:
-        on = f"src.{addr} = tgt.full_address"
-        if by_country:
-            on += f" AND src.{country} = tgt.country"
-        extra = [f"src.{addr} IS NOT NULL"] if not_null else []
-        return f"""SELECT DISTINCT CAST(NULL AS INTEGER) AS orig_address_id, src.{addr} AS full_address,
-            src.{city} AS city, src.{state} AS state, src.{postal} AS postal_code,
-            src.{country} AS country, {a.audit()}, src.SiteId AS site_id
-            FROM {stg} src
-            {a.anti(f"LEFT JOIN {a.S['address']} tgt ON {on}")}
-            {a.where(n, 'tgt.ODS_address_id IS NULL', extra)}"""
-
-    return build
-
-
-arm_address_b = _arm_address_text("Stg_Customers", "Address", "City", "Region", "PostalCode",
-                                  "Country", "TRY_CAST(src.CustomerID AS BIGINT)")
-arm_address_c = _arm_address_text("Stg_Employees", "Address", "City", "StateOrRegion",
-                                  "PostalCode", "Country", "src.EmployeeID", not_null=True)
-arm_address_d = _arm_address_text("Stg_Suppliers", "Address", "City", "StateOrRegion",
-                                  "PostalCode", "Country", "src.SupplierID")
-arm_address_e = _arm_address_text("Stg_Orders", "ShipAddress", "ShipCity", "ShipStateOrRegion",
-                                  "ShipPostalCode", "ShipCountry", "src.OrderID", by_country=True)
-
-
-def arm_customer_1(a: Arm) -> str:
-    n = "src_cus.CustomerId"
-    A = a.S["address"]
-    return f"""SELECT DISTINCT CAST(src_cus.CustomerId AS VARCHAR) AS orig_customer_id,
-        {a.pert('src_cus.CustomerName', n)} AS company_name, src_cus.ContactName AS contact_name,
-        CAST(NULL AS VARCHAR) AS contact_job_title, src_cus.PhoneNumber AS phone,
-        src_add.ODS_address_id AS ODS_address_id, src_add2.ODS_address_id AS ODS_delivery_address_id,
-        {a.audit()}, src_cus.RecordOrigSiteId AS record_orig_site_id
-        FROM Stg_Customer src_cus
-        LEFT JOIN Stg_Address src_addb ON src_cus.BillingAddressId = src_addb.AddressId
-        LEFT JOIN Stg_Address src_addd ON src_cus.DeliveryAddressId = src_addd.AddressId
-        LEFT JOIN {A} src_add ON CONCAT(src_addb.AddressLine1, ' ', src_addb.AddressLine2) = src_add.full_address
-            AND src_add.site_id = 1
-        LEFT JOIN {A} src_add2 ON CONCAT(src_addd.AddressLine1, ' ', src_addd.AddressLine2) = src_add2.full_address
-            AND src_add2.site_id = 1
-        {a.anti(f"LEFT JOIN {a.S['customer']} tgt ON CAST(src_cus.CustomerId AS VARCHAR) = tgt.orig_customer_id")}
-        {a.where(n, 'tgt.ODS_customer_id IS NULL')}"""
-
-
-def arm_customer_2(a: Arm) -> str:
-    n = "TRY_CAST(src.CustomerID AS BIGINT)"
-    return f"""SELECT DISTINCT src.CustomerID AS orig_customer_id,
-        {a.pert('src.CompanyName', n)} AS company_name, src.ContactName AS contact_name,
-        src.ContactTitle AS contact_job_title, src.Phone AS phone,
-        src_add.ODS_address_id AS ODS_address_id, src_add.ODS_address_id AS ODS_delivery_address_id,
-        {a.audit()}, src.SiteId AS record_orig_site_id
-        FROM Stg_Customers src
-        LEFT JOIN {a.S['address']} src_add ON src.Address = src_add.full_address
-        {a.anti(f"LEFT JOIN {a.S['customer']} tgt ON src.CustomerID = tgt.orig_customer_id")}
-        {a.where(n, 'tgt.ODS_customer_id IS NULL', ['src_add.site_id = 2'])}"""
-
-
-def arm_employee_1(a: Arm) -> str:
-    n = "src.SalesPersonId"
-    return f"""SELECT DISTINCT src.SalesPersonId AS orig_employee_id,
-        {a.pert('src.FirstName', n)} AS first_name, src.LastName AS last_name,
-        CAST(NULL AS VARCHAR) AS job_title, CAST(NULL AS TIMESTAMP) AS birth_date,
-        CAST(NULL AS TIMESTAMP) AS hire_date,
-        CASE WHEN src.IsActive = 0 THEN {a.ts} ELSE NULL END AS termination_date,
-        src.PhoneNumber AS phone, CAST(NULL AS INTEGER) AS ODS_address_id, src.Email AS email,
-        CAST(NULL AS VARCHAR) AS reports_to, CAST(NULL AS VARCHAR) AS notes,
-        {a.audit()}, src.RecordOrigSiteId AS record_orig_site_id
-        FROM Stg_SalesPerson src
-        {a.anti(f"LEFT JOIN {a.S['employee']} tgt ON src.SalesPersonId = tgt.orig_employee_id")}
-        {a.where(n, 'tgt.ODS_employee_id IS NULL')}"""
-
-
-def arm_employee_2(a: Arm) -> str:
-    n = "src.EmployeeID"
-    return f"""SELECT DISTINCT src.EmployeeID AS orig_employee_id,
-        {a.pert('src.FirstName', n)} AS first_name, src.LastName AS last_name,
-        src.JobTitle AS job_title, src.BirthDate AS birth_date, src.HireDate AS hire_date,
-        src.TerminationDate AS termination_date, src.HomePhone AS phone,
-        src_add.ODS_address_id AS ODS_address_id, src.EmailAddress AS email,
-        CAST(src.ReportsTo AS VARCHAR) AS reports_to, src.Notes AS notes,
-        {a.audit()}, src.SiteId AS record_orig_site_id
-        FROM Stg_Employees src
-        LEFT JOIN {a.S['address']} src_add ON src.Address = src_add.full_address
-        {a.anti(f"LEFT JOIN {a.S['employee']} tgt ON src.EmployeeID = tgt.orig_employee_id")}
-        {a.where(n, 'tgt.ODS_employee_id IS NULL')}"""
-
-
-def arm_supplier_1(a: Arm) -> str:
-    n = "src.SupplierId"
-    return f"""SELECT DISTINCT src.SupplierId AS orig_supplier_id,
-        {a.pert('src.SupplierName', n)} AS company_name, src.ContactName AS contact_name,
-        CAST(NULL AS VARCHAR) AS contact_job_title, src.PhoneNumber AS phone, src.Website AS website,
-        src_add.ODS_address_id AS ODS_address_id, {a.audit()}, src.SiteId AS site_id
-        FROM Stg_Supplier src
-        LEFT JOIN {a.S['address']} src_add ON src.AddressId = src_add.orig_address_id
-        {a.anti(f"LEFT JOIN {a.S['supplier']} tgt ON src.SupplierId = tgt.orig_supplier_id")}
-        {a.where(n, 'tgt.ODS_supplier_id IS NULL')}"""
-
-
-def arm_supplier_2(a: Arm) -> str:
-    n = "src.SupplierID"
-    return f"""SELECT DISTINCT src.SupplierID AS orig_supplier_id,
-        {a.pert('src.CompanyName', n)} AS company_name, src.ContactName AS contact_name,
-        src.ContactTitle AS contact_job_title, src.Phone AS phone, CAST(NULL AS VARCHAR) AS website,
-        src_add.ODS_address_id AS ODS_address_id, {a.audit()}, src.SiteId AS site_id
-        FROM Stg_Suppliers src
-        LEFT JOIN {a.S['address']} src_add ON src.Address = src_add.full_address
-        {a.anti(f"LEFT JOIN {a.S['supplier']} tgt ON src.SupplierID = tgt.orig_supplier_id")}
-        {a.where(n, 'tgt.ODS_supplier_id IS NULL')}"""
-
-
-def arm_territory(a: Arm) -> str:
-    n = "TRY_CAST(src.TerritoryID AS BIGINT)"
-    return f"""SELECT DISTINCT src.TerritoryID AS orig_territory_id,
-        {a.pert('src.TerritoryDescription', n)} AS description,
-        src_reg.ODS_region_id AS ODS_region_id, {a.audit()}, src.SiteId AS record_orig_site_id
-        FROM Stg_Territories src
-        LEFT JOIN {a.S['region']} src_reg ON src.RegionID = src_reg.orig_region_id
-        {a.anti(f"LEFT JOIN {a.S['territory']} tgt ON src.TerritoryID = tgt.orig_territory_id")}
-        {a.where(n, 'tgt.ODS_territory_id IS NULL')}"""
-
-
-def arm_employee_territory(a: Arm) -> str:
-    n = "src_et.EmployeeID"
-    # a pair whose territory is unknown would put NULL in the primary key;
-    # such rows are rejected (and reported by the q_pk check)
-    return f"""SELECT DISTINCT src_emp.ODS_employee_id AS ODS_employee_id,
-        src_ter.ODS_territory_id AS ODS_territory_id, {a.ts} AS date_created
-        FROM Stg_EmployeeTerritories src_et
-        LEFT JOIN {a.S['employee']} src_emp ON src_et.EmployeeID = src_emp.orig_employee_id
-        LEFT JOIN {a.S['territory']} src_ter ON src_et.TerritoryID = src_ter.orig_territory_id
-        {a.anti(f'''LEFT JOIN {a.S['employee_territory']} tgt_et
-            ON src_emp.ODS_employee_id = tgt_et.ODS_employee_id
-            AND src_ter.ODS_territory_id = tgt_et.ODS_territory_id''')}
-        {a.where(n, 'tgt_et.ODS_employee_id IS NULL', [
-            'src_et.EmployeeID = src_emp.orig_employee_id', 'src_emp.record_orig_site_id = 2',
-            'src_emp.ODS_employee_id IS NOT NULL', 'src_ter.ODS_territory_id IS NOT NULL'])}"""
-
-
-def arm_product_1(a: Arm) -> str:
-    n = "src_si.StockItemId"
-    return f"""SELECT DISTINCT src_si.StockItemId AS orig_product_id,
-        {a.pert('src_si.StockItemName', n)} AS name, src_ic.Category AS category_name,
-        CAST(NULL AS VARCHAR) AS category_description, src_sup.ODS_supplier_id AS ODS_supplier_id,
-        src_si.Color AS color, src_si.Size AS size,
-        CAST(src_si.QuantityPerOuter AS VARCHAR) AS quantity_per_unit,
-        src_si.Cost AS unit_price, src_si.RetailPrice AS wholesale_price,
-        src_sii.QuantityOnHand AS units_in_stock, CAST(NULL AS INTEGER) AS units_on_order,
-        src_sii.ReorderLevel AS reorder_level, src_sii.TargetStockLevel AS target_stock_level,
-        src_sii.BinLocation AS bin_location,
-        CASE WHEN src_si.IsActive = 1 THEN FALSE ELSE TRUE END AS discontinued,
-        {a.audit('src_sii.LastEditDateTime')}, src_si.SiteId AS site_id
-        FROM Stg_StockItem src_si
-        LEFT JOIN Stg_StockItemInventory src_sii ON src_si.StockItemId = src_sii.StockItemID
-        LEFT JOIN Stg_ItemCategory src_ic ON src_si.ItemCategoryId = src_ic.CategoryId
-        LEFT JOIN {a.S['supplier']} src_sup ON src_si.SupplierId = src_sup.orig_supplier_id
-        {a.anti(f"LEFT JOIN {a.S['product']} tgt ON src_si.StockItemId = tgt.orig_product_id")}
-        {a.where(n, 'tgt.ODS_product_id IS NULL', ['src_sup.site_id = 1'])}"""
-
-
-def arm_product_2(a: Arm) -> str:
-    n = "src_pro.ProductID"
-    return f"""SELECT DISTINCT src_pro.ProductID AS orig_product_id,
-        {a.pert('src_pro.ProductName', n)} AS name, src_cat.CategoryName AS category_name,
-        src_cat.Description AS category_description, src_sup.ODS_supplier_id AS ODS_supplier_id,
-        CAST(NULL AS VARCHAR) AS color, CAST(NULL AS VARCHAR) AS size,
-        src_pro.QuantityPerUnit AS quantity_per_unit, src_pro.UnitPrice AS unit_price,
-        src_pro.WholesalePrice AS wholesale_price, src_pro.UnitsInStock AS units_in_stock,
-        src_pro.UnitsOnOrder AS units_on_order, src_pro.ReorderLevel AS reorder_level,
-        CAST(NULL AS INTEGER) AS target_stock_level, CAST(NULL AS VARCHAR) AS bin_location,
-        src_pro.Discontinued AS discontinued, {a.audit()}, src_pro.SiteId AS site_id
-        FROM Stg_Products src_pro
-        LEFT JOIN Stg_Categories src_cat ON src_pro.CategoryID = src_cat.CategoryID
-        LEFT JOIN {a.S['supplier']} src_sup ON src_pro.SupplierID = src_sup.orig_supplier_id
-        {a.anti(f"LEFT JOIN {a.S['product']} tgt ON src_pro.ProductID = tgt.orig_product_id")}
-        {a.where(n, 'tgt.ODS_product_id IS NULL', ['src_sup.site_id = 2'])}"""
-
-
-def arm_order_1(a: Arm) -> str:
-    n = "src_oh.OrderId"
-    return f"""SELECT DISTINCT src_oh.OrderId AS orig_order_id,
-        src_cus.ODS_customer_id AS ODS_customer_id, src_emp.ODS_employee_id AS ODS_employee_id,
-        src_add.ODS_address_id AS ODS_address_id, src_oh.OrderDate AS order_date,
-        src_oh.ShipDate AS ship_date, CAST(NULL AS TIMESTAMP) AS required_date,
-        {a.pert('src_oh.CustomerPurchaseOrderNumber', n)} AS order_number,
-        CAST(NULL AS VARCHAR) AS ship_via, CAST(NULL AS VARCHAR) AS shipping_company_phone,
-        CAST(NULL AS DECIMAL(19,4)) AS freight, {a.audit()}, src_oh.SiteId AS site_id
-        FROM Stg_OrderHeader src_oh
-        LEFT JOIN {a.S['customer']} src_cus ON CAST(src_oh.CustomerId AS VARCHAR) = src_cus.orig_customer_id
-        LEFT JOIN {a.S['employee']} src_emp ON src_oh.SalesPersonId = src_emp.orig_employee_id
-        LEFT JOIN Stg_Customer src_ocus ON src_oh.CustomerId = src_ocus.CustomerId
-        LEFT JOIN Stg_Address src_oadd ON src_ocus.DeliveryAddressId = src_oadd.AddressId
-        LEFT JOIN {a.S['address']} src_add ON src_oadd.AddressId = src_add.orig_address_id
-        {a.anti(f'LEFT JOIN {a.S["order"]} tgt ON src_oh.OrderId = tgt.orig_order_id')}
-        {a.where(n, 'tgt.ODS_order_id IS NULL', ['src_emp.record_orig_site_id = 1'])}"""
-
-
-def arm_order_2(a: Arm) -> str:
-    n = "src_ord.OrderID"
-    return f"""SELECT DISTINCT src_ord.OrderID AS orig_order_id,
-        src_cus.ODS_customer_id AS ODS_customer_id, src_emp.ODS_employee_id AS ODS_employee_id,
-        src_add.ODS_address_id AS ODS_address_id, src_ord.OrderDate AS order_date,
-        CAST(NULL AS TIMESTAMP) AS ship_date, src_ord.RequiredDate AS required_date,
-        CAST(NULL AS VARCHAR) AS order_number, {a.pert('src_shi.CompanyName', n)} AS ship_via,
-        src_shi.Phone AS shipping_company_phone, src_ord.Freight AS freight,
-        {a.audit()}, src_ord.SiteId AS site_id
-        FROM Stg_Orders src_ord
-        LEFT JOIN Stg_Shippers src_shi ON src_ord.ShipVia = src_shi.ShipperID
-        LEFT JOIN {a.S['customer']} src_cus ON src_ord.CustomerID = src_cus.orig_customer_id
-        LEFT JOIN {a.S['employee']} src_emp ON src_ord.EmployeeID = src_emp.orig_employee_id
-        LEFT JOIN {a.S['address']} src_add ON src_ord.ShipAddress = src_add.full_address
-            AND src_ord.ShipCountry = src_add.country
-        {a.anti(f'LEFT JOIN {a.S["order"]} tgt ON src_ord.OrderID = tgt.orig_order_id')}
-        {a.where(n, 'tgt.ODS_order_id IS NULL', ['src_emp.record_orig_site_id = 2'])}"""
-
-
-def _qty(a: Arm, col: str, n: str) -> str:
-    return f"CASE WHEN ({n}) % 7 = 0 THEN {col} + 1 ELSE {col} END" if a.prior else col
-
-
-def arm_order_detail_1(a: Arm) -> str:
-    n = "src_ol.OrderId"
-    return f"""SELECT DISTINCT src_ol.OrderLineId AS orig_order_detail_id,
-        src_ord.ODS_order_id AS ODS_order_id, src_pro.ODS_product_id AS ODS_product_id,
-        {_qty(a, 'src_ol.Quantity', n)} AS quantity_per_unit, src_ol.UnitPrice AS unit_price,
-        src_ol.TaxRate AS tax_rate, src_ol.ItemPickedDate AS item_picked_date,
-        CAST(NULL AS DECIMAL(5,2)) AS discount, {a.audit()}, src_ol.SiteId AS site_id
-        FROM Stg_OrderLine src_ol
-        LEFT JOIN {a.S['order']} src_ord ON src_ol.OrderId = src_ord.orig_order_id
-            AND src_ol.SiteId = src_ord.site_id
-        LEFT JOIN {a.S['product']} src_pro ON src_ol.StockItemId = src_pro.orig_product_id
-            AND src_ol.SiteId = src_pro.site_id
-        {a.anti(f"LEFT JOIN {a.S['order_detail']} tgt ON src_ol.OrderLineId = tgt.orig_order_detail_id")}
-        {a.where(n, 'tgt.ODS_order_detail_id IS NULL')}"""
-
-
-def arm_order_detail_2(a: Arm) -> str:
-    n = "src_od.OrderID"
-    return f"""SELECT DISTINCT src_od.OrderID AS orig_order_detail_id,
-        src_ord.ODS_order_id AS ODS_order_id, src_pro.ODS_product_id AS ODS_product_id,
-        {_qty(a, 'src_od.Quantity', n)} AS quantity_per_unit, src_od.UnitPrice AS unit_price,
-        CAST(NULL AS DECIMAL(5,2)) AS tax_rate, CAST(NULL AS TIMESTAMP) AS item_picked_date,
-        src_od.Discount AS discount, {a.audit()}, src_od.SiteId AS site_id
-        FROM Stg_OrderDetails src_od
-        LEFT JOIN {a.S['order']} src_ord ON src_od.OrderID = src_ord.orig_order_id
-            AND src_od.SiteId = src_ord.site_id
-        LEFT JOIN {a.S['product']} src_pro ON src_od.ProductID = src_pro.orig_product_id
-            AND src_od.SiteId = src_pro.site_id
-        {a.anti(f"LEFT JOIN {a.S['order_detail']} tgt ON src_od.OrderID = tgt.orig_order_detail_id")}
-        {a.where(n, 'tgt.ODS_order_detail_id IS NULL')}"""
-
-
-ARMS = {
-    "site": {"site": arm_site},
-    "region": {"region": arm_region},
-    "address": {"address_a": arm_address_a, "address_b": arm_address_b,
-                "address_c": arm_address_c, "address_d": arm_address_d,
-                "address_e": arm_address_e},
-    "customer": {"customer_1": arm_customer_1, "customer_2": arm_customer_2},
-    "employee": {"employee_1": arm_employee_1, "employee_2": arm_employee_2},
-    "supplier": {"supplier_1": arm_supplier_1, "supplier_2": arm_supplier_2},
-    "territory": {"territory": arm_territory},
-    "employee_territory": {"employee_territory": arm_employee_territory},
-    "product": {"product_1": arm_product_1, "product_2": arm_product_2},
-    "order": {"order_1": arm_order_1, "order_2": arm_order_2},
-    "order_detail": {"order_detail_1": arm_order_detail_1, "order_detail_2": arm_order_detail_2},
-}
+# --------------------------------------------------------------------------- rules to statements
+
+# What a missing value compares as, by kind.
+DEFAULTS = {"text": "''", "date": DATE_SENTINEL, "price": "-1", "count": "0", "flag": "FALSE"}
+
+# The two source systems as the site load declares them.
+SITES = "(VALUES (1, 'SouthwindSales'), (2, 'NW_Traders_Sales')) AS s(site_id, name)"
+
+
+def joined(maps: dict[str, Map], states: dict[str, str]) -> str:
+    """The key maps as named sub-selects joined to the staging row."""
+    out = []
+    for name, m in maps.items():
+        on = f"{name}.k = {m.key}" + (f" AND {name}.k2 = {m.key2}" if m.key2 else "")
+        out.append(f"{'JOIN' if m.needed else 'LEFT JOIN'} ({m.select.format(**states)}) {name} ON {on}")
+    return "\n".join(out)
+
+
+def bent(rule: Insert, value: str) -> str:
+    """The other value that the prior state holds of a row."""
+    if rule.bent == "quantity_per_unit":
+        return f"{value} + CAST(({rule.n}) % 7 = 0 AS INTEGER)"
+    return f"CASE WHEN ({rule.n}) % 11 = 0 THEN NULL ELSE {value} || CASE WHEN ({rule.n}) % 7 = 0 THEN ' old' ELSE '' END END"
+
+
+def new_rows(table: str, rule: Insert, states: dict[str, str], prior: bool = False) -> str:
+    """The rows an arm inserts; with ``prior`` those the prior state was made of."""
+    stamp = PRIOR_TS if prior else LOAD_TS
+    cols = []
+    for c in TABLES[table].insert_cols:
+        value = rule.cols.get(c, f"CAST(NULL AS {duck_type(TABLES[table].col(c).dtype)})").replace("{now}", stamp)
+        if c == "date_created":
+            value = stamp
+        elif c == "last_update":
+            value = f"CAST({rule.stamp if rule.stamp and not prior else 'NULL'} AS TIMESTAMP)"
+        elif prior and c == rule.bent:
+            value = bent(rule, value)
+        cols.append(f"{value} AS {q(c)}")
+    same = " AND ".join(f"t.{q(c)} = {rule.cols[c]}" for c in rule.absent)
+    keep = f"({rule.n}) % 5 <> 0" if prior else f"NOT EXISTS (SELECT 1 FROM {states[table]} t WHERE {same})"
+    return (f"SELECT DISTINCT {', '.join(cols)}\nFROM {rule.src} s\n{joined(rule.maps, states)}\n"
+            f"WHERE {keep}" + (f" AND {rule.only}" if rule.only else ""))
+
+
+def new_sites(states: dict[str, str], prior: bool = False) -> str:
+    keep = "site_id = 1" if prior else f"site_id NOT IN (SELECT site_id FROM {states['site']})"
+    return (f"SELECT CAST(site_id AS SMALLINT) AS site_id, name, {PRIOR_TS if prior else LOAD_TS} AS date_created, "
+            f"CAST(NULL AS TIMESTAMP) AS last_update FROM {SITES} WHERE {keep}")
+
+
+def all_new(table: str, states: dict[str, str], prior: bool = False) -> str:
+    if table == "site":
+        return new_sites(states, prior)
+    return "\nUNION\n".join(f"({new_rows(table, rule, states, prior)})" for rule in INSERTS[table].values())
+
+
+def changed(table: str, rule: Change, states: dict[str, str], state: str) -> str:
+    """The table after one update: of the staging rows that differ from a target row
+    the one with the smallest new values, NULLs first."""
+    t, key = TABLES[table], q(TABLES[table].id_col)
+    names, values, differ = [], [], []
+    for name, *rest in rule.sets:
+        if len(rest) == 2:
+            kind, value = rest
+            mine, its = (f"COALESCE({x}, {DEFAULTS[kind]})" for x in (value, f"t.{q(name)}"))
+        else:
+            value, mine, its = rest
+        names.append(name)
+        values.append(f"{value} AS new_{name}")
+        differ.append(f"{mine} <> {its}")
+    by = " AND ".join(f"t.{q(c)} = {value}" for c, value in rule.by.items())
+    order = ", ".join(f"new_{n} NULLS FIRST" for n in names)
+    picks = (f"SELECT DISTINCT ON (t.{key}) t.{key} AS pick, {', '.join(values)}\nFROM {rule.src} s\n"
+             f"{joined(rule.maps, states)}\nJOIN {state} t ON {by}\nWHERE {' OR '.join(differ)}\n"
+             f"ORDER BY t.{key}, {order}")
+    cols = []
+    for c in t.cols:
+        old, typ = f"t.{q(c.name)}", duck_type(c.dtype)
+        new = f"CAST(p.new_{c.name} AS {typ})" if c.name in names else LOAD_TS if c.name == "last_update" else None
+        cols.append(f"CASE WHEN p.pick IS NULL THEN {old} ELSE {new} END AS {q(c.name)}" if new else old)
+    return f"SELECT {', '.join(cols)} FROM {state} t LEFT JOIN ({picks}) p ON p.pick = t.{key}"
 
 
 def with_ids(table: str, rows_cte: str, start_sql: str = "0") -> str:
@@ -577,192 +336,11 @@ def prior_ctes() -> list[tuple[str, str]]:
     S = {name: f"p_{name}" for name in ORDER}
     ctes = []
     for name in ORDER:
-        a = Arm(prior=True, S=S)
-        union = "\nUNION\n".join(f"({build(a)})" for build in ARMS[name].values())
-        ctes.append((f"pr_{name}", union))
+        ctes.append((f"pr_{name}", all_new(name, S, prior=True)))
         ctes.append((f"p_{name}", with_ids(name, f"pr_{name}")))
     return ctes
 
 
-# --------------------------------------------------------------------------- updates
-
-
-class U:
-    """One update statement: ``FROM`` clause (source alias joins, target
-    alias ``tgt``), key condition and (target, value, source cmp, target cmp)."""
-
-    def __init__(self, table, from_sql, key, sets):
-        self.table, self.from_sql, self.key, self.sets = table, from_sql, key, sets
-
-    def sql(self, state: str) -> str:
-        t = TABLES[self.table]
-        idc = q(t.id_col)
-        vals = ", ".join(f"{v} AS v{i}" for i, (_, v, _, _) in enumerate(self.sets))
-        order = ", ".join(f"v{i} NULLS FIRST" for i in range(len(self.sets)))
-        same = " AND ".join(f"{s} = {tc}" for _, _, s, tc in self.sets)
-        pairs = f"""SELECT tgt.{idc} AS _id, {vals},
-            row_number() OVER (PARTITION BY tgt.{idc} ORDER BY {order}) AS _rn
-            FROM {self.from_sql.format(tgt=state)} ON {self.key}
-            WHERE NOT ({same})"""
-        targets = {s[0]: i for i, s in enumerate(self.sets)}
-        cols = []
-        for c in t.names:
-            typ = duck_type(t.col(c).dtype)
-            if c in targets:
-                cols.append(f"CASE WHEN p._id IS NOT NULL THEN CAST(p.v{targets[c]} AS {typ}) "
-                            f"ELSE tgt.{q(c)} END AS {q(c)}")
-            elif c == "last_update":
-                cols.append(f"CASE WHEN p._id IS NOT NULL THEN {LOAD_TS} ELSE tgt.last_update END "
-                            f"AS last_update")
-            else:
-                cols.append(f"tgt.{q(c)}")
-        return (f"SELECT {', '.join(cols)} FROM {state} tgt "
-                f"LEFT JOIN ({pairs}) p ON p._id = tgt.{idc} AND p._rn = 1")
-
-
-def nd(value: str, target: str, d: str) -> tuple:
-    """SET target = value with ``ISNULL(value, d) = ISNULL(tgt.target, d)``."""
-    return (target, value, f"COALESCE({value}, {d})", f"COALESCE(tgt.{q(target)}, {d})")
-
-
-TXT, DT, PRICE, ZERO = "''", DATE_SENTINEL, "-1", "0"
-
-
-def updates(P: dict[str, str]) -> dict[str, list[U]]:
-    """The update statements per table; ``P`` names the state CTEs of the
-    reference tables they join (gates and lookups)."""
-    return {
-        "region": [U("region", "Stg_Region src JOIN {tgt} tgt", "src.RegionID = tgt.orig_region_id",
-                     [nd("src.RegionDescription", "description", TXT)])],
-        "address": [U(
-            "address", "Stg_Address src JOIN {tgt} tgt", "src.AddressId = tgt.orig_address_id",
-            [nd("CONCAT(src.AddressLine1, ' ', src.AddressLine2)", "full_address", TXT),
-             nd("src.City", "city", TXT), nd("src.State", "state", TXT),
-             nd("src.ZipCode", "postal_code", TXT)])],
-        "customer": [
-            U("customer", "Stg_Customer src JOIN {tgt} tgt",
-              "CAST(src.CustomerId AS VARCHAR) = tgt.orig_customer_id",
-              [nd("src.CustomerName", "company_name", TXT),
-               nd("src.ContactName", "contact_name", TXT),
-               nd("src.PhoneNumber", "phone", TXT)]),
-            U("customer", "Stg_Customers src JOIN {tgt} tgt", "src.CustomerID = tgt.orig_customer_id",
-              [nd("src.CompanyName", "company_name", TXT),
-               nd("src.ContactName", "contact_name", TXT),
-               nd("src.ContactTitle", "contact_job_title", TXT),
-               nd("src.Phone", "phone", TXT)]),
-        ],
-        "employee": [
-            U("employee", "Stg_SalesPerson src JOIN {tgt} tgt",
-              "src.SalesPersonId = tgt.orig_employee_id",
-              [nd("src.FirstName", "first_name", TXT), nd("src.LastName", "last_name", TXT),
-               nd("src.PhoneNumber", "phone", TXT), nd("src.Email", "email", TXT)]),
-            U("employee", "Stg_Employees src JOIN {tgt} tgt", "src.EmployeeID = tgt.orig_employee_id",
-              [nd("src.FirstName", "first_name", TXT), nd("src.LastName", "last_name", TXT),
-               nd("src.JobTitle", "job_title", TXT), nd("src.BirthDate", "birth_date", DT),
-               nd("src.HireDate", "hire_date", DT),
-               nd("src.TerminationDate", "termination_date", DT),
-               nd("src.HomePhone", "phone", TXT), nd("src.EmailAddress", "email", TXT),
-               nd("CAST(src.ReportsTo AS VARCHAR)", "reports_to", TXT),
-               nd("src.Notes", "notes", TXT)]),
-        ],
-        "supplier": [
-            U("supplier", "Stg_Supplier src JOIN {tgt} tgt", "src.SupplierId = tgt.orig_supplier_id",
-              [nd("src.SupplierName", "company_name", TXT),
-               nd("src.ContactName", "contact_name", TXT),
-               nd("src.PhoneNumber", "phone", TXT), nd("src.Website", "website", TXT)]),
-            U("supplier", "Stg_Suppliers src JOIN {tgt} tgt", "src.SupplierID = tgt.orig_supplier_id",
-              [nd("src.CompanyName", "company_name", TXT),
-               nd("src.ContactName", "contact_name", TXT),
-               nd("src.ContactTitle", "contact_job_title", TXT),
-               nd("src.Phone", "phone", TXT)]),
-        ],
-        "territory": [U("territory", "Stg_Territories src JOIN {tgt} tgt",
-                        "src.TerritoryID = tgt.orig_territory_id",
-                        [nd("src.TerritoryDescription", "description", TXT)])],
-        "product": [
-            U("product",
-              "Stg_StockItem src_si JOIN Stg_StockItemInventory src_sii "
-              "ON src_si.StockItemId = src_sii.StockItemID "
-              "JOIN Stg_ItemCategory src_ic ON src_si.ItemCategoryId = src_ic.CategoryId "
-              f"JOIN {P['supplier']} src_sup ON src_si.SupplierId = src_sup.orig_supplier_id "
-              "AND src_sup.site_id = 1 JOIN {tgt} tgt",
-              "src_si.StockItemId = tgt.orig_product_id",
-              [nd("src_si.StockItemName", "name", TXT),
-               nd("src_ic.Category", "category_name", TXT),
-               nd("src_si.Color", "color", TXT), nd("src_si.Size", "size", TXT),
-               ("quantity_per_unit", "CAST(src_si.QuantityPerOuter AS VARCHAR)",
-                "CAST(COALESCE(src_si.QuantityPerOuter, 0) AS VARCHAR)",
-                "COALESCE(tgt.quantity_per_unit, '')"),
-               nd("src_si.Cost", "unit_price", PRICE),
-               nd("src_si.RetailPrice", "wholesale_price", PRICE),
-               nd("src_sii.QuantityOnHand", "units_in_stock", ZERO),
-               nd("src_sii.ReorderLevel", "reorder_level", ZERO),
-               nd("src_sii.TargetStockLevel", "target_stock_level", ZERO),
-               nd("src_sii.BinLocation", "bin_location", TXT),
-               ("discontinued", "CASE WHEN src_si.IsActive = 1 THEN FALSE ELSE TRUE END",
-                "CASE WHEN src_si.IsActive = 1 THEN FALSE ELSE TRUE END",
-                "COALESCE(tgt.discontinued, FALSE)")]),
-            U("product",
-              "Stg_Products src_pro JOIN Stg_Categories src_cat "
-              "ON src_pro.CategoryID = src_cat.CategoryID "
-              f"JOIN {P['supplier']} src_sup ON src_pro.SupplierID = src_sup.orig_supplier_id "
-              "AND src_sup.site_id = 2 JOIN {tgt} tgt",
-              "src_pro.ProductID = tgt.orig_product_id",
-              [nd("src_pro.ProductName", "name", TXT),
-               nd("src_cat.CategoryName", "category_name", TXT),
-               nd("src_cat.Description", "category_description", TXT),
-               nd("src_pro.QuantityPerUnit", "quantity_per_unit", TXT),
-               nd("src_pro.UnitPrice", "unit_price", PRICE),
-               nd("src_pro.WholesalePrice", "wholesale_price", PRICE),
-               nd("src_pro.UnitsInStock", "units_in_stock", ZERO),
-               nd("src_pro.UnitsOnOrder", "units_on_order", ZERO),
-               nd("src_pro.ReorderLevel", "reorder_level", ZERO),
-               nd("src_pro.Discontinued", "discontinued", "FALSE")]),
-        ],
-        "order": [
-            U("order",
-              f"Stg_OrderHeader src_oh JOIN {P['employee']} src_emp "
-              "ON src_oh.SalesPersonId = src_emp.orig_employee_id AND src_emp.record_orig_site_id = 1 "
-              "JOIN {tgt} tgt",
-              "src_oh.OrderId = tgt.orig_order_id",
-              [nd("src_oh.OrderDate", "order_date", DT), nd("src_oh.ShipDate", "ship_date", DT),
-               nd("src_oh.CustomerPurchaseOrderNumber", "order_number", TXT)]),
-            U("order",
-              "Stg_Orders src_ord JOIN Stg_Shippers src_shi ON src_ord.ShipVia = src_shi.ShipperID "
-              f"JOIN {P['employee']} src_emp ON src_ord.EmployeeID = src_emp.orig_employee_id "
-              f"JOIN {P['address']} src_add ON src_ord.ShipAddress = src_add.full_address "
-              "AND src_ord.ShipCountry = src_add.country JOIN {tgt} tgt",
-              "src_ord.OrderID = tgt.orig_order_id",
-              [nd("src_ord.OrderDate", "order_date", DT),
-               nd("src_ord.RequiredDate", "required_date", DT),
-               nd("src_shi.CompanyName", "ship_via", TXT),
-               nd("src_shi.Phone", "shipping_company_phone", TXT),
-               nd("src_ord.Freight", "freight", PRICE)]),
-        ],
-        "order_detail": [
-            U("order_detail",
-              f"Stg_OrderLine src_ol JOIN {P['order']} src_ord ON src_ol.OrderId = src_ord.orig_order_id "
-              "AND src_ol.SiteId = src_ord.site_id "
-              f"JOIN {P['product']} src_pro ON src_ol.StockItemId = src_pro.orig_product_id "
-              "AND src_ol.SiteId = src_pro.site_id JOIN {tgt} tgt",
-              "src_ol.OrderLineId = tgt.orig_order_detail_id",
-              [nd("src_ol.Quantity", "quantity_per_unit", ZERO),
-               nd("src_ol.UnitPrice", "unit_price", PRICE),
-               nd("src_ol.TaxRate", "tax_rate", ZERO),
-               nd("src_ol.ItemPickedDate", "item_picked_date", DT)]),
-            U("order_detail",
-              f"Stg_OrderDetails src_od JOIN {P['order']} src_ord ON src_od.OrderID = src_ord.orig_order_id "
-              "AND src_od.SiteId = src_ord.site_id "
-              f"JOIN {P['product']} src_pro ON src_od.ProductID = src_pro.orig_product_id "
-              "AND src_od.SiteId = src_pro.site_id JOIN {tgt} tgt",
-              "src_od.OrderID = tgt.orig_order_detail_id",
-              [nd("src_od.Quantity", "quantity_per_unit", ZERO),
-               nd("src_od.UnitPrice", "unit_price", PRICE),
-               nd("src_od.Discount", "discount", ZERO)]),
-        ],
-    }
-
-
 # --------------------------------------------------------------------------- statements
 #
 # The loads run in foreign-key order: a table's load reads its own prior
@@ -782,9 +360,9 @@ def state_map(name: str) -> dict[str, str]:
 def update_ctes(name: str, upto: int | None = None) -> tuple[list[tuple[str, str]], str]:
     """CTEs of the table's updates in order; returns them and the last name."""
     ctes, state = [], f"p_{name}"
-    for i, u in enumerate(updates(state_map(name)).get(name, [])[:upto], start=1):
+    for i, rule in enumerate(CHANGES.get(name, [])[:upto], start=1):
         cte = f"u_{name}_{i}"
-        ctes.append((cte, u.sql(state)))
+        ctes.append((cte, changed(name, rule, state_map(name), state)))
         state = cte
     return ctes, state
 
@@ -798,11 +376,9 @@ def _arm_states(name: str, updated: str) -> dict[str, str]:
 def load_ctes(name: str) -> list[tuple[str, str]]:
     """Updates, new rows and the resulting state ``l_<name>`` of one load."""
     ctes, state = update_ctes(name)
-    a = Arm(prior=False, S=_arm_states(name, state))
-    union = "\nUNION\n".join(f"({build(a)})" for build in ARMS[name].values())
     t = TABLES[name]
     start = f"SELECT COALESCE(MAX({q(t.id_col)}), 0) FROM {state}" if t.id_col else "0"
-    ctes += [(f"new_{name}", union),
+    ctes += [(f"new_{name}", all_new(name, _arm_states(name, state))),
              (f"l_{name}", f"SELECT {cast_list(name)} FROM {state} UNION ALL "
                            f"{with_ids(name, f'new_{name}', start)}")]
     return ctes
@@ -823,9 +399,9 @@ def u_statement(name: str, upto: int) -> str:
 
 def n_statement(name: str, arm: str) -> str:
     ctes, state = update_ctes(name)
-    a = Arm(prior=False, S=_arm_states(name, state))
     t = TABLES[name]
-    return _with(base_ctes(name) + ctes + [("arm", ARMS[name][arm](a))],
+    rows = new_rows(name, INSERTS[name][arm], _arm_states(name, state))
+    return _with(base_ctes(name) + ctes + [("arm", rows)],
                  f"SELECT {cast_list(name, cols=t.insert_cols)} FROM arm")
 
 
@@ -848,12 +424,12 @@ def pipeline_counts_statement() -> str:
 def oracle_statements() -> dict[str, str]:
     out: dict[str, str] = {}
     for name in ORDER:
-        n_up = len(updates(state_map(name)).get(name, []))
+        n_up = len(CHANGES.get(name, []))
         for i in range(1, n_up + 1):
             key = f"u_{name}" if n_up == 1 else f"u_{name}_{i}"
             out[key] = u_statement(name, i)
         if name != "site":
-            for arm in ARMS[name]:
+            for arm in INSERTS[name]:
                 out[f"n_{arm}"] = n_statement(name, arm)
             out[f"load_{name}"] = load_statement(name)
     out["pipeline_counts"] = pipeline_counts_statement()
