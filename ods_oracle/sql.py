@@ -46,16 +46,16 @@ def cast_list(table: str, alias: str = "", cols: list[str] | None = None) -> str
     t = TABLES[table]
     pre = f"{alias}." if alias else ""
     return ", ".join(
-        f"CAST({pre}{q(c)} AS {duck_type(t.col(c).dtype)}) AS {q(c)}" for c in (cols or t.names)
+        f"CAST({pre}{q(c)} AS {duck_type(t.col(c).stored)}) AS {q(c)}" for c in (cols or t.names)
     )
 
 
 # --------------------------------------------------------------------------- staging
 
 STAGING = {
-    "Stg_Region": """SELECT CAST(r_regionkey AS SMALLINT) AS RegionID,
+    "Stg_Region": """SELECT CAST(r_regionkey AS BIGINT) AS RegionID,
         CAST(r_name AS VARCHAR) AS RegionDescription FROM region""",
-    "Stg_Address": """SELECT CAST(c_custkey AS INTEGER) AS AddressId,
+    "Stg_Address": """SELECT CAST(c_custkey AS BIGINT) AS AddressId,
         concat(c_custkey, ' Main Street') AS AddressLine1,
         CASE WHEN c_custkey % 4 = 1 THEN NULL ELSE concat('Unit ', c_custkey % 9) END AS AddressLine2,
         concat('City ', c_custkey % 50) AS City,
@@ -63,13 +63,13 @@ STAGING = {
         lpad(CAST(c_custkey AS VARCHAR), greatest(5, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') AS ZipCode,
         CAST(1 AS SMALLINT) AS RecordOrigSiteId
         FROM customer WHERE c_custkey % 2 = 1""",
-    "Stg_Customer": """SELECT CAST(c_custkey AS INTEGER) AS CustomerId,
+    "Stg_Customer": """SELECT CAST(c_custkey AS BIGINT) AS CustomerId,
         c_name AS CustomerName,
         CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE concat('Contact ', c_custkey) END AS ContactName,
         concat('555-', c_custkey) AS PhoneNumber,
-        CAST(c_custkey AS INTEGER) AS BillingAddressId,
+        CAST(c_custkey AS BIGINT) AS BillingAddressId,
         CAST(CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN c_custkey
-                  ELSE c_custkey + 2 END AS INTEGER) AS DeliveryAddressId,
+                  ELSE c_custkey + 2 END AS BIGINT) AS DeliveryAddressId,
         CAST(1 AS SMALLINT) AS RecordOrigSiteId
         FROM customer WHERE c_custkey % 2 = 1""",
     "Stg_Customers": """SELECT CAST(c_custkey AS VARCHAR) AS CustomerID,
@@ -86,7 +86,7 @@ STAGING = {
         concat('NATION_', c_nationkey) AS Country,
         CAST(2 AS SMALLINT) AS SiteId
         FROM customer WHERE c_custkey % 2 = 0""",
-    "Stg_SalesPerson": """SELECT CAST(user_id AS SMALLINT) AS SalesPersonId,
+    "Stg_SalesPerson": """SELECT CAST(user_id AS BIGINT) AS SalesPersonId,
         concat('First', user_id) AS FirstName,
         concat('Last', user_id) AS LastName,
         concat('557-', user_id) AS PhoneNumber,
@@ -94,7 +94,7 @@ STAGING = {
         CAST(CASE WHEN user_id % 7 = 0 THEN 0 ELSE 1 END AS SMALLINT) AS IsActive,
         CAST(1 AS SMALLINT) AS RecordOrigSiteId
         FROM (SELECT DISTINCT user_id FROM events) u WHERE user_id % 2 = 1""",
-    "Stg_Employees": """SELECT CAST(user_id AS SMALLINT) AS EmployeeID,
+    "Stg_Employees": """SELECT CAST(user_id AS BIGINT) AS EmployeeID,
         concat('First', user_id) AS FirstName,
         concat('Last', user_id) AS LastName,
         concat('Job ', user_id % 6) AS JobTitle,
@@ -110,19 +110,19 @@ STAGING = {
         lpad(CAST(user_id AS VARCHAR), greatest(5, length(CAST(user_id AS VARCHAR)))::INTEGER, '0') AS PostalCode,
         concat('NATION_', user_id % 25) AS Country,
         concat('u', user_id, '@site2.test') AS EmailAddress,
-        CAST(CASE WHEN user_id = 0 THEN NULL ELSE user_id % 4 END AS INTEGER) AS ReportsTo,
+        CAST(CASE WHEN user_id = 0 THEN NULL ELSE user_id % 4 END AS BIGINT) AS ReportsTo,
         concat('note ', user_id) AS Notes,
         CAST(2 AS SMALLINT) AS SiteId
         FROM (SELECT DISTINCT user_id FROM events) u WHERE user_id % 2 = 0""",
-    "Stg_Supplier": """SELECT CAST(s_suppkey AS INTEGER) AS SupplierId,
+    "Stg_Supplier": """SELECT CAST(s_suppkey AS BIGINT) AS SupplierId,
         s_name AS SupplierName,
         concat('Contact ', s_suppkey) AS ContactName,
         concat('559-', s_suppkey) AS PhoneNumber,
         CASE WHEN s_suppkey % 9 = 0 THEN NULL ELSE concat('www', s_suppkey, '.test') END AS Website,
-        CAST(s_suppkey AS INTEGER) AS AddressId,
+        CAST(s_suppkey AS BIGINT) AS AddressId,
         CAST(1 AS SMALLINT) AS SiteId
         FROM supplier WHERE s_suppkey % 2 = 1""",
-    "Stg_Suppliers": """SELECT CAST(s_suppkey AS INTEGER) AS SupplierID,
+    "Stg_Suppliers": """SELECT CAST(s_suppkey AS BIGINT) AS SupplierID,
         s_name AS CompanyName,
         concat('Contact ', s_suppkey) AS ContactName,
         concat('Title ', s_suppkey % 4) AS ContactTitle,
@@ -136,17 +136,17 @@ STAGING = {
         FROM supplier WHERE s_suppkey % 2 = 0""",
     "Stg_Territories": """SELECT lpad(CAST(n_nationkey AS VARCHAR), greatest(5, length(CAST(n_nationkey AS VARCHAR)))::INTEGER, '0') AS TerritoryID,
         n_name AS TerritoryDescription,
-        CAST(n_regionkey AS SMALLINT) AS RegionID,
+        CAST(n_regionkey AS BIGINT) AS RegionID,
         CAST(2 AS SMALLINT) AS SiteId
         FROM nation""",
-    "Stg_EmployeeTerritories": """SELECT CAST(user_id AS SMALLINT) AS EmployeeID,
+    "Stg_EmployeeTerritories": """SELECT CAST(user_id AS BIGINT) AS EmployeeID,
         CASE WHEN user_id % 10 = 4 THEN '99999'
              ELSE lpad(CAST(user_id % 25 AS VARCHAR), greatest(5, length(CAST(user_id % 25 AS VARCHAR)))::INTEGER, '0') END AS TerritoryID
         FROM (SELECT DISTINCT user_id FROM events) u WHERE user_id % 2 = 0""",
-    "Stg_StockItem": """SELECT CAST(p_partkey AS INTEGER) AS StockItemId,
+    "Stg_StockItem": """SELECT CAST(p_partkey AS BIGINT) AS StockItemId,
         p_name AS StockItemName,
-        CAST(p_size % 6 AS INTEGER) AS ItemCategoryId,
-        CAST(2 * (p_partkey % 5) + 1 AS INTEGER) AS SupplierId,
+        CAST(p_size % 6 AS BIGINT) AS ItemCategoryId,
+        CAST(2 * (p_partkey % 5) + 1 AS BIGINT) AS SupplierId,
         p_brand AS Color,
         p_type AS Size,
         CAST(CASE WHEN p_partkey % 9 = 0 THEN NULL ELSE p_size END AS INTEGER) AS QuantityPerOuter,
@@ -155,19 +155,19 @@ STAGING = {
         CAST(CASE WHEN p_partkey % 7 = 0 THEN 0 ELSE 1 END AS SMALLINT) AS IsActive,
         CAST(1 AS SMALLINT) AS SiteId
         FROM part WHERE p_partkey % 2 = 1""",
-    "Stg_StockItemInventory": """SELECT CAST(p_partkey AS INTEGER) AS StockItemID,
+    "Stg_StockItemInventory": """SELECT CAST(p_partkey AS BIGINT) AS StockItemID,
         CAST(p_size * 3 AS INTEGER) AS QuantityOnHand,
         CAST(p_size AS INTEGER) AS ReorderLevel,
         CAST(p_size * 5 AS INTEGER) AS TargetStockLevel,
         concat('B', p_size) AS BinLocation,
         TIMESTAMP '2024-01-02 03:04:05' AS LastEditDateTime
         FROM part WHERE p_partkey % 2 = 1 AND p_partkey % 5 <> 0""",
-    "Stg_ItemCategory": """SELECT CAST(r_regionkey AS INTEGER) AS CategoryId,
+    "Stg_ItemCategory": """SELECT CAST(r_regionkey AS BIGINT) AS CategoryId,
         r_name AS Category FROM region""",
-    "Stg_Products": """SELECT CAST(p_partkey AS INTEGER) AS ProductID,
+    "Stg_Products": """SELECT CAST(p_partkey AS BIGINT) AS ProductID,
         p_name AS ProductName,
-        CAST(p_size % 6 AS INTEGER) AS CategoryID,
-        CAST(2 * (p_partkey % 5) AS INTEGER) AS SupplierID,
+        CAST(p_size % 6 AS BIGINT) AS CategoryID,
+        CAST(2 * (p_partkey % 5) AS BIGINT) AS SupplierID,
         concat(p_size, ' per box') AS QuantityPerUnit,
         CAST(p_retailprice AS DECIMAL(5,2)) AS UnitPrice,
         CAST(CASE WHEN p_partkey % 8 = 0 THEN NULL ELSE p_retailprice END AS DECIMAL(5,2)) AS WholesalePrice,
@@ -177,23 +177,23 @@ STAGING = {
         p_partkey % 12 = 0 AS Discontinued,
         CAST(2 AS SMALLINT) AS SiteId
         FROM part WHERE p_partkey % 2 = 0""",
-    "Stg_Categories": """SELECT CAST(r_regionkey AS INTEGER) AS CategoryID,
+    "Stg_Categories": """SELECT CAST(r_regionkey AS BIGINT) AS CategoryID,
         r_name AS CategoryName, concat('All of ', r_name) AS Description FROM region""",
-    "Stg_OrderHeader": """SELECT CAST(o_orderkey AS INTEGER) AS OrderId,
-        CAST(o_custkey AS INTEGER) AS CustomerId,
-        CAST(2 * (o_custkey % 7) + 1 AS SMALLINT) AS SalesPersonId,
+    "Stg_OrderHeader": """SELECT CAST(o_orderkey AS BIGINT) AS OrderId,
+        CAST(o_custkey AS BIGINT) AS CustomerId,
+        CAST(2 * (o_custkey % 7) + 1 AS BIGINT) AS SalesPersonId,
         CAST(o_orderdate AS TIMESTAMP) AS OrderDate,
         CASE WHEN o_orderkey % 9 = 0 THEN NULL
              ELSE CAST(o_orderdate AS TIMESTAMP) + INTERVAL 3 DAY END AS ShipDate,
         concat('PO', o_orderkey) AS CustomerPurchaseOrderNumber,
         CAST(1 AS SMALLINT) AS SiteId
         FROM orders WHERE o_orderkey % 2 = 1""",
-    "Stg_Orders": """SELECT CAST(o_orderkey AS INTEGER) AS OrderID,
+    "Stg_Orders": """SELECT CAST(o_orderkey AS BIGINT) AS OrderID,
         CAST(o_custkey AS VARCHAR) AS CustomerID,
-        CAST(2 * (o_custkey % 7) AS SMALLINT) AS EmployeeID,
+        CAST(2 * (o_custkey % 7) AS BIGINT) AS EmployeeID,
         CAST(o_orderdate AS TIMESTAMP) AS OrderDate,
         CAST(o_orderdate AS TIMESTAMP) + INTERVAL 14 DAY AS RequiredDate,
-        CAST(o_orderkey % 4 AS INTEGER) AS ShipVia,
+        CAST(o_orderkey % 4 AS BIGINT) AS ShipVia,
         CAST(CASE WHEN o_orderkey % 12 = 0 THEN NULL ELSE o_totalprice END AS DECIMAL(19,4)) AS Freight,
         CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE concat('Dock ', o_custkey % 97) END AS ShipAddress,
         concat('City ', o_custkey % 2) AS ShipCity,
@@ -202,21 +202,21 @@ STAGING = {
         concat('NATION_', o_custkey % 25) AS ShipCountry,
         CAST(2 AS SMALLINT) AS SiteId
         FROM orders WHERE o_orderkey % 2 = 0""",
-    "Stg_Shippers": """SELECT CAST(r_regionkey AS INTEGER) AS ShipperID,
+    "Stg_Shippers": """SELECT CAST(r_regionkey AS BIGINT) AS ShipperID,
         concat('Ship ', r_name) AS CompanyName,
         concat('561-', r_regionkey) AS Phone
         FROM region WHERE r_regionkey < 3""",
-    "Stg_OrderLine": """SELECT CAST(l_orderkey * 10 + l_linenumber AS INTEGER) AS OrderLineId,
-        CAST(l_orderkey AS INTEGER) AS OrderId,
-        CAST(l_partkey AS INTEGER) AS StockItemId,
+    "Stg_OrderLine": """SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS OrderLineId,
+        CAST(l_orderkey AS BIGINT) AS OrderId,
+        CAST(l_partkey AS BIGINT) AS StockItemId,
         CAST(l_quantity AS INTEGER) AS Quantity,
         CAST(l_extendedprice AS DECIMAL(18,2)) AS UnitPrice,
         CAST(l_tax AS DECIMAL(5,2)) AS TaxRate,
         CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(l_shipdate AS TIMESTAMP) END AS ItemPickedDate,
         CAST(1 AS SMALLINT) AS SiteId
         FROM lineitem WHERE l_orderkey % 2 = 1""",
-    "Stg_OrderDetails": """SELECT CAST(l_orderkey AS INTEGER) AS OrderID,
-        CAST(l_partkey AS INTEGER) AS ProductID,
+    "Stg_OrderDetails": """SELECT CAST(l_orderkey AS BIGINT) AS OrderID,
+        CAST(l_partkey AS BIGINT) AS ProductID,
         CAST(l_quantity AS INTEGER) AS Quantity,
         CAST(l_extendedprice AS DECIMAL(18,2)) AS UnitPrice,
         CAST(l_discount AS DECIMAL(5,2)) AS Discount,
@@ -263,7 +263,7 @@ def new_rows(table: str, rule: Insert, states: dict[str, str], prior: bool = Fal
     stamp = PRIOR_TS if prior else LOAD_TS
     cols = []
     for c in TABLES[table].insert_cols:
-        value = rule.cols.get(c, f"CAST(NULL AS {duck_type(TABLES[table].col(c).dtype)})").replace("{now}", stamp)
+        value = rule.cols.get(c, f"CAST(NULL AS {duck_type(TABLES[table].col(c).stored)})").replace("{now}", stamp)
         if c == "date_created":
             value = stamp
         elif c == "last_update":
@@ -310,7 +310,7 @@ def changed(table: str, rule: Change, states: dict[str, str], state: str) -> str
              f"ORDER BY t.{key}, {order}")
     cols = []
     for c in t.cols:
-        old, typ = f"t.{q(c.name)}", duck_type(c.dtype)
+        old, typ = f"t.{q(c.name)}", duck_type(c.stored)
         new = f"CAST(p.new_{c.name} AS {typ})" if c.name in names else LOAD_TS if c.name == "last_update" else None
         cols.append(f"CASE WHEN p.pick IS NULL THEN {old} ELSE {new} END AS {q(c.name)}" if new else old)
     return f"SELECT {', '.join(cols)} FROM {state} t LEFT JOIN ({picks}) p ON p.pick = t.{key}"

@@ -58,3 +58,18 @@ def test_keys_beyond_the_declared_widths(spark, tmp_path):
     out = {r["source"]: r["out_of_range"] for r in q_range(spark, str(tmp_path)).collect()
            if r["target_type"] == "smallint" and r["source"] != "Stg_Region"}
     assert sum(out.values()) * 2 == wide["employee"].count()
+    # the expected rows come from statements that hold keys of this size too
+    import duckdb
+
+    from ods_oracle import oracle_statements
+    from sitemerge.plans.queries import load_queries
+    from tools.check_oracle import rows_of
+
+    con = duckdb.connect()
+    for t in TEST_TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    for n in names:
+        got = load_queries()[f"load_{n}"](spark, str(tmp_path))
+        want = con.execute(oracle_statements()[f"load_{n}"])
+        cols = [d[0] for d in want.description]
+        assert rows_of(got.columns, got.collect()) == rows_of(cols, want.fetchall()), n
