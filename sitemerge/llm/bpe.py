@@ -14,7 +14,7 @@ them with the function.
 Defined results: a null text encodes like an empty one, to no ids; null id
 lists decode to no bytes, ids outside the vocabulary (and null ids) to U+FFFD; row
 order and repeated rows stay; an empty table gives an empty table; other
-columns are passed on.
+columns are passed on; input columns named like an output are replaced by it.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import giving_back, long_list, text_slices
+from .common import giving_back, long_list, replacing, text_slices
 
 MEMO_LIMIT = 150_000  # pre-tokens of a generation; a task remembers this one and the one before
 MASK = (1 << 64) - 1
@@ -240,19 +240,19 @@ class Vocabulary:
 
 
 def _with(df: DataFrame, column: str, kind: str) -> str:
-    if column in df.columns:
-        raise ValueError(f"column {column} exists")
     return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), f"`{column}` {kind}"])
 
 
 def encode(df: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with the ids of each text in column ``out`` (array<int>)."""
+    df = replacing(df, text_col, out)
     return df.mapInArrow(lambda it: giving_back(vocabulary.encode_batches(it, text_col, out)),
                          _with(df, out, "array<int>"))
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the bytes of each id list in column ``out`` (binary)."""
+    df = replacing(df, ids_col, out)
     return df.mapInArrow(lambda it: giving_back(vocabulary.decode_batches(it, ids_col, out)),
                          _with(df, out, "binary"))
 
@@ -261,8 +261,9 @@ def round_trip(df: DataFrame, vocabulary: Vocabulary, text_col: str = "text", id
                out: str = "decoded") -> DataFrame:
     """``decode(encode(df))`` in one pass: a task's ids are decoded by the worker
     that made them, so a task holds one Python worker instead of two."""
-    if out in (ids, *df.columns):
-        raise ValueError(f"column {out} exists")
+    if out == ids:
+        raise ValueError("ids and decoded bytes need two names")
+    df = replacing(df, text_col, ids, out)
     schema = f"{_with(df, ids, 'array<int>')}, `{out}` binary"
     return df.mapInArrow(
         lambda it: giving_back(vocabulary.decode_batches(

@@ -52,6 +52,14 @@ def giving_back(batches):
     give_back()
 
 
+def replacing(df: DataFrame, source: str, *outputs: str) -> DataFrame:
+    """``df`` without columns named like an output: the outputs replace them."""
+    names = {o.lower() for o in outputs}
+    if source.lower() in names:
+        raise ValueError(f"the output {source} is named like the input it is made from")
+    return df.select(*(c for c in df.columns if c.lower() not in names))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

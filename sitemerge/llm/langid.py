@@ -20,7 +20,9 @@ its 10% quantile and its median (1.28 normal deviations), so single wrong
 labels move nothing.  The best language's value counts.
 
 Defined results: a null text or one without a letter is ``und`` with score and fit 0;
-without any labelled document all are ``und``; with one language every other
+without any labelled document all are ``und``; of more than ``MOST_LABELS`` label values
+the most frequent are learned (ties: in name order); input columns named like an output
+are replaced by it; with one language every other
 text gets it with score 1; null labels teach nothing; rows stay as they are,
 repeated or not; an empty table gives an empty table.
 """
@@ -37,9 +39,10 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import giving_back, text_slices
+from .common import giving_back, replacing, text_slices
 
 SAMPLE = 2400  # documents the machines are fitted on, at most
+MOST_LABELS = 100  # languages learned, at most: those with the most documents
 DIM = 4096  # hashed features
 UND = "und"
 
@@ -220,13 +223,18 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()
                        & F.regexp_like(F.col(text_col), F.lit(LETTER)))
     keys = known.select(F.col(lang_col).alias("lang"), key.alias("key"))
-    n = keys.select("lang").distinct().count()
-    if not n:
+    counts = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LABELS)
+    counts = {r["lang"]: r["n"] for r in counts.collect()}
+    if not counts:
         return Model((), (), np.zeros((DIM + 1, 1)))
-    if n > sample // 2:
-        raise ValueError(f"{n} languages: the sample of {sample} holds fewer than two of each")
+    share = max(2, sample // len(counts))
+    # the smallest hashes lie below a cutoff that leaves several times the share of a
+    # language; without the rows above it no task ranks a whole language
+    cutoff = {lang: min(2**63 - 1, -2**63 + int(2**64 * min(1.0, (4 * share + 100) / c))) for lang, c in counts.items()}
+    below = F.create_map(*(F.lit(x) for pair in cutoff.items() for x in pair))[F.col("lang")]
     w = Window.partitionBy("lang").orderBy("key")
-    chosen = keys.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= sample // n)
+    chosen = keys.where(F.col("lang").isin(list(counts)) & (F.col("key") <= below)).withColumn(
+        "rank", F.row_number().over(w)).where(F.col("rank") <= share)
     # at most ``sample`` rows, so the broadcast and the result are bounded
     texts = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), key.alias("key")).join(
         F.broadcast(chosen.select("lang", "key").distinct()), ["lang", "key"], "left_semi")
@@ -269,8 +277,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text",
             out: tuple = ("lang_pred", "score")) -> DataFrame:
     """``docs`` with the predicted language, a score from 0 to 1 and, if
     ``out`` has a third name, the fit (of a model trained with ``fits``)."""
-    if set(out) & set(docs.columns):
-        raise ValueError(f"columns {out} exist")
+    docs = replacing(docs, text_col, *out)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema),
                         f"`{out[0]}` string", *(f"`{name}` double" for name in out[1:])])
     return docs.mapInArrow(lambda it: giving_back(_predicted(it, model, text_col, out)), schema)

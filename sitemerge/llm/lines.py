@@ -178,7 +178,7 @@ def _apply(batches, text_at: str):
                     total.append((text or "").count("\n") + 1)
                     gone.append(0)
                     continue
-                lines = text.split("\n")
+                lines = (text or "").split("\n")
                 bits = np.unpackbits(np.frombuffer(zlib.decompress(keep), np.uint8), count=len(lines))
                 left = [line for line, bit in zip(lines, bits) if bit]
                 kept.append("\n".join(left))

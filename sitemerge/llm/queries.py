@@ -279,7 +279,7 @@ h2 AS (SELECT host, (k * d2.r + bad) / (k + n) AS r, k + n AS w
 ruled AS (SELECT *, CASE {fits} END AS rule FROM p)
 SELECT page_id, host, path, rule,
   coalesce(CASE rule {verdicts} END,
-    CASE WHEN r - 1.645 * sqrt(r * (1 - r) / (w + 1)) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+    CASE WHEN r - 1.645 * sqrt(r * (1 - r) / (w + 1)) > 1.5 * {mean} THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled JOIN h2 USING (host)"""
 
 

@@ -5,7 +5,8 @@ and suffix.  Each level's bad rate has a beta prior centred on the posterior
 mean of the level above; the prior's strength is fitted to the spread between
 groups of that level (beta-binomial, method of moments).  A host is blocked if
 the lower bound of its posterior bad rate, mean minus ``z`` standard
-deviations, exceeds ``threshold``.
+deviations, exceeds ``excess`` times the bad rate of all labelled pages: a host is
+judged by how much worse than the rest it surely is, whatever the base rate.
 
 Only DataFrame functions run here.  Counts are combined before they are
 shuffled and the reputation table is written once, so the join back to the
@@ -103,7 +104,8 @@ def _strength(groups: DataFrame, mean: float) -> float:
 
 def host_reputation(hosts: DataFrame, z: float = 1.645) -> DataFrame:
     """From (host, n, bad), one row per host: its bad rate's posterior mean
-    ``rate``, standard deviation ``sd`` and lower bound ``lower``."""
+    ``rate``, standard deviation ``sd`` and lower bound ``lower``, and ``base``, the rate
+    of all labelled pages."""
     hosts = cut(hosts.select("host", domain_of(F.col("host")).alias("domain"),
                              suffix_of(F.col("host")).alias("suffix"), "n", "bad"), "hosts")
     domains = cut(hosts.groupBy("domain", "suffix").agg(
@@ -123,11 +125,12 @@ def host_reputation(hosts: DataFrame, z: float = 1.645) -> DataFrame:
         "host", "n", rate(F.col("domain_rate"), k_host).alias("rate"),
         (F.lit(k_host) + F.col("n")).alias("weight"))
     sd = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("weight") + 1))
-    return h.select("host", "n", "rate", sd.alias("sd"), (F.col("rate") - F.lit(z) * sd).alias("lower"))
+    return h.select("host", "n", "rate", sd.alias("sd"), (F.col("rate") - F.lit(z) * sd).alias("lower"),
+                    F.lit(mean).alias("base"))
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], id_col: str = "page_id",
-                url_col: str = "url", threshold: float = 0.5, z: float = 1.645) -> DataFrame:
+                url_col: str = "url", excess: float = 1.5, z: float = 1.645) -> DataFrame:
     """Judge every page.  ``outcomes``: (page_id, bad 0/1 or null).
 
     Returns page_id, host, path, rule, verdict, bad_rate, bad_lower."""
@@ -142,9 +145,9 @@ def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], id_col
     reputation = cut(host_reputation(hosts, z), "reputation")
     rule = match_rule(F.col("host"), F.col("path"), rules)
     held = judged.withColumn("_rule", rule).join(
-        reputation.select("host", "rate", "lower"), "host", "left")
+        reputation.select("host", "rate", "lower", "base"), "host", "left")
     return held.select(
         "page_id", "host", "path", F.col("_rule.pattern").alias("rule"),
-        F.coalesce(F.col("_rule.verdict"), F.when(F.col("lower") > threshold, "block")
+        F.coalesce(F.col("_rule.verdict"), F.when(F.col("lower") > F.lit(excess) * F.col("base"), "block")
                    .otherwise("allow")).alias("verdict"),
         F.col("rate").alias("bad_rate"), F.col("lower").alias("bad_lower"))
