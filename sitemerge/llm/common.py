@@ -35,6 +35,14 @@ def cut(df: DataFrame, label: str) -> DataFrame:
             conf.set(key, before)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hold Arrow batches of the session to ``BATCH_ROWS`` rows.  For results that the
+    caller runs: the size is read when they are planned, beyond ``cut``'s reach."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "0")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def give_back() -> None:
     """Return freed memory to the system.  Python workers outlive their tasks,
     and allocators otherwise keep what the largest step of a stage needed."""
