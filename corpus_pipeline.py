@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitemerge.llm import bpe, langid, lines, minhash, mixing
-from sitemerge.llm.common import cut, table
+from sitemerge.llm.common import cut, small_batches, table
 from sitemerge.llm.queries import vocabulary
 
 LEAST_SCORE = 0.5  # below it, the best family's machine says no
@@ -54,6 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     v = vocabulary()
+    small_batches(spark)  # this stage's result is run by the caller
     done = bpe.round_trip(docs, v)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return done.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
