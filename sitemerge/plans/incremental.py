@@ -5,8 +5,9 @@ Per load:
 1. the ranges of the staged source keys are found (a distinct over the key column,
    at most as many values as the table has ranges) and only those of the own state
    are scanned, for the updates and for the anti-joins;
-2. the updates run over that scan and the rows they change are written once to the
-   checkpoint folder;
+2. fingerprints tell which rows of that scan an update may change
+   (:mod:`~sitemerge.operators.suspects`); the updates run over those rows, in the
+   ranges that hold one, and what they change is written once to the checkpoint folder;
 3. the new rows get their ids after the largest one, which the record knows;
 4. :meth:`Store.publish` rewrites the ranges that hold a changed row, adds a folder to
    those that only grow and carries the others over.
@@ -27,12 +28,13 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import new_with_ids
+from ..operators.suspects import all_suspects, narrowed
+from ..operators.upsert import apply_update, new_with_ids
 from ..session import materialize
 from ..sources.store import Commit, Store, TableState, range_of
 from ..sources.targets import TABLES
 from .loads import LOADS, ORDER, STAGED_KEYS, Ctx, Options, ts_literal
-from .pipeline import READS, levels, matches_changed_columns, now, run_updates
+from .pipeline import READS, levels, matches_changed_columns, now
 
 MOST_RANGES = 10_000  # ranges named in a scan's filter; a batch that meets more reads them all
 
@@ -54,6 +56,22 @@ def read_states(store: Store, tables: dict[str, TableState], names=ORDER) -> dic
     return {n: store.read(tables.get(n), TABLES[n]).select(*TABLES[n].names) for n in names}
 
 
+def changed_rows(ctx: Ctx, store: Store, old: TableState, name: str, own: DataFrame) -> DataFrame | None:
+    """The rows that the load's updates change, as they are after them, with their
+    ``key_range``; None where no row is suspected."""
+    table = TABLES[name]
+    specs = [build(ctx) for build in LOADS[name].updates]
+    found = materialize(all_suspects(own, specs, table, ["key_range"]), f"suspects-{name}")
+    ranges = [r["key_range"] for r in found.select("key_range").distinct().limit(MOST_RANGES + 1).collect()]
+    if not ranges:
+        return None
+    state = store.read(old, table, set(ranges)) if len(ranges) <= MOST_RANGES else own
+    state = state.join(found.select(*table.pk), list(table.pk), "left_semi").withColumn("_hit", F.lit(False))
+    for spec in specs:
+        state = apply_update(state, narrowed(spec, found), table, ctx.load_ts)
+    return materialize(state.where("_hit").drop("_hit"), f"changed-{name}")
+
+
 def load_table(store: Store, staging: dict[str, DataFrame], tables: dict[str, TableState], name: str,
                load_ts: str, options: Options) -> TableState:
     """One load on the store: the table's state after it (not yet recorded)."""
@@ -61,11 +79,11 @@ def load_table(store: Store, staging: dict[str, DataFrame], tables: dict[str, Ta
     state = read_states(store, tables, READS[name])
     empty = old is None or not old.pieces
     own = store.read(old, table, None if empty else staged_ranges(staging, name, old.width))
-    state[name] = own.withColumn("_hit", F.lit(False))
+    state[name] = own
     ctx = Ctx(store.spark, staging, state, ts_literal(load_ts), options, frozenset({name} if empty else ()))
     changed = None
     if LOADS[name].updates and not empty:
-        changed = materialize(run_updates(ctx, name).where("_hit").drop("_hit"), f"changed-{name}")
+        changed = changed_rows(ctx, store, old, name, own)
     target = None if empty else own
     if changed is not None and matches_changed_columns(name):
         target = own.join(changed.select(*table.pk), list(table.pk), "left_anti").unionByName(changed)
