@@ -158,7 +158,63 @@ def q_drop() -> str:
     return _with(base_ctes(), "\nUNION ALL\n".join(parts))
 
 
+# Staging as a system without the targets' widths sends it.
+RAW = {
+    "raw_customer": """SELECT * REPLACE (
+        CASE WHEN CustomerId % 10 = 1 THEN CustomerId + 100000 ELSE CustomerId END AS CustomerId,
+        CASE WHEN CustomerId % 5 = 2 THEN ContactName || ' of ' || repeat(CustomerName, CustomerId % 4)
+             ELSE ContactName END AS ContactName) FROM Stg_Customer""",
+    "raw_item": """SELECT * REPLACE (
+        CAST(Cost * COALESCE(QuantityPerOuter, 1) AS DECIMAL(12,2)) AS Cost,
+        CAST(CASE WHEN StockItemId % 3 = 0 THEN RetailPrice * COALESCE(QuantityPerOuter, 1) ELSE RetailPrice END
+             AS DECIMAL(12,2)) AS RetailPrice) FROM Stg_StockItem""",
+}
+
+
+def _misfits(tests: list[tuple[str, str]]) -> str:
+    """Names of the tests that a row meets, in order; tests are listed in that order."""
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in tests) + ")"
+
+
+def q_reject() -> str:
+    states = {t: f"p_{t}" for t in ORDER}
+    wide = lambda col, width, value: (f"width:{col}", f"length({value}) > {width}")
+    price = lambda col, value: (f"range:{col}", f"abs({value}) > 999.99")
+    customer_cols = [("company_name", 50), ("contact_job_title", 50), ("contact_name", 50), ("orig_customer_id", 5), ("phone", 20)]
+    item_cols = [("bin_location", 50), ("category_name", 50), ("color", 50), ("name", 100), ("quantity_per_unit", 20), ("size", 50)]
+    prices = [price(c, c) for c in ("unit_price", "wholesale_price")]
+    parts = []
+    for table, arms, widths, extra in (
+            ("customer", ["customer_1", "customer_2"], customer_cols, []),
+            ("product", ["product_1", "product_2"], item_cols, prices)):
+        why = _misfits([*extra, *(wide(c, w, q(c)) for c, w in widths)])
+        key = f"orig_{table}_id"
+        for arm in arms:
+            rule = INSERTS[table][arm]
+            rule = replace(rule, src={"Stg_Customer": "raw_customer", "Stg_StockItem": "raw_item"}.get(rule.src, rule.src))
+            parts.append(f"SELECT '{table}' AS table_name, 'n_{table}' AS statement, CAST({key} AS VARCHAR) AS key_text, "
+                         f"{why} AS reasons FROM ({new_rows(table, rule, states)}) r")
+    # updates: staged rows of a key that the ODS holds, judged by the columns that are set
+    why = _misfits([wide("company_name", 50, "CustomerName"), wide("contact_name", 50, "ContactName"),
+                    wide("phone", 20, "PhoneNumber")])
+    parts.append(f"SELECT 'customer' AS table_name, 'u_customer_1' AS statement, CAST(CustomerId AS VARCHAR) AS key_text, "
+                 f"{why} AS reasons FROM raw_customer WHERE EXISTS "
+                 "(SELECT 1 FROM p_customer t WHERE t.orig_customer_id = CAST(CustomerId AS VARCHAR))")
+    why = _misfits([price("unit_price", "Cost"), price("wholesale_price", "RetailPrice"), wide("color", 50, "Color"),
+                    wide("name", 100, "StockItemName"), wide("size", 50, "Size")])
+    # the update reads only items with a stock, a category and a known supplier
+    parts.append(f"SELECT 'product' AS table_name, 'u_product_1' AS statement, CAST(StockItemId AS VARCHAR) AS key_text, "
+                 f"{why} AS reasons FROM raw_item WHERE EXISTS (SELECT 1 FROM p_product t WHERE t.orig_product_id = raw_item.StockItemId) "
+                 "AND EXISTS (SELECT 1 FROM Stg_StockItemInventory h WHERE h.StockItemID = raw_item.StockItemId) "
+                 "AND EXISTS (SELECT 1 FROM Stg_ItemCategory g WHERE g.CategoryId = raw_item.ItemCategoryId) "
+                 "AND EXISTS (SELECT 1 FROM p_supplier m WHERE m.site_id = 1 AND m.orig_supplier_id = raw_item.SupplierId)")
+    rows = "\nUNION ALL\n".join(parts)
+    return _with(base_ctes("site") + list(RAW.items()),
+                 f"SELECT DISTINCT table_name, statement, key_text, reasons FROM ({rows}) every_row WHERE reasons <> ''")
+
+
 def check_statements() -> dict[str, str]:
     return {"q_pk": q_pk(), "q_fk": q_fk(), "q_len": q_len(), "q_range": q_range(),
-            "q_clash": q_clash(), "q_fan": q_fan(), "q_drop": q_drop()}
+            "q_clash": q_clash(), "q_fan": q_fan(), "q_drop": q_drop(),
+            "q_reject": q_reject()}
 

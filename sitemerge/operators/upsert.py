@@ -37,6 +37,7 @@ rows, as with ``INSERT ... SELECT DISTINCT``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -172,9 +173,13 @@ def new_with_ids(
     table: Table,
     partitions: int | None = None,
     start: int | None = None,
+    judge: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Distinct new rows of all arms, with ids after the current maximum."""
+    """Distinct new rows of all arms, with ids after the current maximum.  ``judge``
+    may take rows out before they get ids."""
     rows = union_distinct([a.select(*table.insert_cols) for a in arms])
+    if judge is not None:
+        rows = judge(rows)
     if table.id_col:
         if start is None:
             start = max_id(state, table.id_col)

@@ -23,16 +23,18 @@ from __future__ import annotations
 import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import gate
+from ..operators.rejects import accepted, counted, judged, refused
 from ..operators.suspects import all_suspects, narrowed
-from ..operators.upsert import apply_update, new_with_ids
+from ..operators.upsert import UpdateSpec, apply_update, new_with_ids
 from ..session import materialize
 from ..sources.store import Commit, Store, TableState, range_of
-from ..sources.targets import TABLES
+from ..sources.targets import TABLES, Table
 from .loads import LOADS, ORDER, STAGED_KEYS, Ctx, Options, ts_literal
 from .pipeline import READS, levels, matches_changed_columns, now
 
@@ -56,11 +58,49 @@ def read_states(store: Store, tables: dict[str, TableState], names=ORDER) -> dic
     return {n: store.read(tables.get(n), TABLES[n]).select(*TABLES[n].names) for n in names}
 
 
-def changed_rows(ctx: Ctx, store: Store, old: TableState, name: str, own: DataFrame) -> DataFrame | None:
+@dataclass
+class Judge:
+    """Takes rows that don't fit the table out of its load and keeps their report.
+
+    A staged row that would update a row of the state is judged by the columns the
+    update sets and reported under the update's name, a new one by all columns it
+    provides; a row that would do neither is not reported."""
+
+    table: Table
+    own: DataFrame
+    reports: list[DataFrame] = field(default_factory=list)
+    counts: list[tuple] = field(default_factory=list)
+
+    def update(self, spec: UpdateSpec) -> UpdateSpec:
+        told = judged(spec.source, {t.target: t.value for t in spec.tracks}, self.table)
+        keys = [F.col(e) if isinstance(e, str) else e for e, _ in spec.match]
+        self.reports.append(refused(gate(told, self.own, spec.match), self.table, spec.name, keys))
+        return replace(spec, source=accepted(told))
+
+    def insert(self, rows: DataFrame) -> DataFrame:
+        told, seen = counted(judged(rows, {c: F.col(c) for c in rows.columns}, self.table), f"{self.table.name}_rows")
+        told = materialize(told, f"judged-{self.table.name}")
+        name = f"n_{self.table.name}"
+        self.counts.append((name, seen.get["accepted"], seen.get["rejected"]))
+        keys = [F.col(c) for c in ([self.table.orig_col] if self.table.orig_col else self.table.pk)]
+        self.reports.append(refused(told, self.table, name, keys))
+        return accepted(told)
+
+    def put(self, store: Store, run: str) -> None:
+        report = self.reports[0]
+        for r in self.reports[1:]:
+            report = report.unionByName(r)
+        store.put_rejects(run, self.table.name, report, self.counts)
+
+
+def changed_rows(ctx: Ctx, store: Store, old: TableState, name: str, own: DataFrame,
+                 judge: Judge | None = None) -> DataFrame | None:
     """The rows that the load's updates change, as they are after them, with their
     ``key_range``; None where no row is suspected."""
     table = TABLES[name]
     specs = [build(ctx) for build in LOADS[name].updates]
+    if judge is not None:
+        specs = [judge.update(s) for s in specs]
     found = materialize(all_suspects(own, specs, table, ["key_range"]), f"suspects-{name}")
     ranges = [r["key_range"] for r in found.select("key_range").distinct().limit(MOST_RANGES + 1).collect()]
     if not ranges:
@@ -73,7 +113,7 @@ def changed_rows(ctx: Ctx, store: Store, old: TableState, name: str, own: DataFr
 
 
 def load_table(store: Store, staging: dict[str, DataFrame], tables: dict[str, TableState], name: str,
-               load_ts: str, options: Options) -> TableState:
+               load_ts: str, options: Options, run_id: str = "") -> TableState:
     """One load on the store: the table's state after it (not yet recorded)."""
     table, old = TABLES[name], tables.get(name)
     state = read_states(store, tables, READS[name])
@@ -81,14 +121,18 @@ def load_table(store: Store, staging: dict[str, DataFrame], tables: dict[str, Ta
     own = store.read(old, table, None if empty else staged_ranges(staging, name, old.width))
     state[name] = own
     ctx = Ctx(store.spark, staging, state, ts_literal(load_ts), options, frozenset({name} if empty else ()))
+    judge = Judge(table, own) if options.rejects else None
     changed = None
     if LOADS[name].updates and not empty:
-        changed = changed_rows(ctx, store, old, name, own)
+        changed = changed_rows(ctx, store, old, name, own, judge)
     target = None if empty else own
     if changed is not None and matches_changed_columns(name):
         target = own.join(changed.select(*table.pk), list(table.pk), "left_anti").unionByName(changed)
     arms = [a.build(ctx, target).drop("_n") for a in LOADS[name].arms]
-    new = new_with_ids(own, arms, table, start=old.max_id if old else 0)
+    new = new_with_ids(own, arms, table, start=old.max_id if old else 0,
+                       judge=judge.insert if judge else None)
+    if judge:
+        judge.put(store, run_id)
     return store.publish(table, old, changed, new)
 
 
@@ -116,7 +160,7 @@ def run_stored(
     states = {**(base.tables if base else {}), **done}
 
     def one(name: str, before: dict[str, TableState]) -> TableState:
-        after = load_table(store, staging, before, name, load_ts, options)
+        after = load_table(store, staging, before, name, load_ts, options, run_id)
         store.finished(run_id, after)
         return after
 

@@ -41,11 +41,14 @@ class Options:
     compare after the narrowing cast the target applies.
     ``collation`` names a Spark collation for text join keys (None: bytes).
     ``buckets`` publishes each state bucketed by its source key, so the next
-    run joins it on that key without shuffling it."""
+    run joins it on that key without shuffling it.
+    ``rejects`` keeps rows that a target column can't hold out of a store's tables and
+    reports them (runs on a store only)."""
 
     strict: bool = False
     collation: str | None = None
     buckets: int | None = None  # publish states bucketed by their source key
+    rejects: bool = False  # report rows that don't fit instead of storing them
 
 
 @dataclass

@@ -11,12 +11,14 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, session_key
+from ..sources.fixtures import raw_staging
 from ..sources.store import Store
 from .fixture_state import PRIOR_TS
 from .incremental import publish_states, read_states, run_stored
-from .loads import DEFAULT_LOAD_TS, ORDER
+from .loads import DEFAULT_LOAD_TS, ORDER, Options
 from .pipeline import pipeline_counts
 from .queries import fixture
 
@@ -38,6 +40,17 @@ def states_after_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         return _CACHE[key]
 
 
+def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run on raw customers and stock items keeps out, with reasons; the prior
+    ODS of the fixture is taken into a store before it."""
+    fx = fixture(spark, sf_dir)
+    store = Store(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/sitemerge/store-{uuid.uuid4().hex}")
+    publish_states(store, {**fx["prior"]}, "prior", PRIOR_TS)
+    run_stored(spark, raw_staging(fx["stg"]), store, DEFAULT_LOAD_TS, Options(rejects=True), "raw", ["customer", "product"])
+    return store.rejects("raw").select(
+        "table_name", "statement", "key_text", F.array_join("reasons", ",").alias("reasons")).distinct()
+
+
 def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: states_after_run(spark, sf_dir)[name]
 
@@ -48,7 +61,7 @@ def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**{f"stored_{n}": _table(n) for n in ORDER if n != "site"}, "stored_counts": _counts}
+    return {**{f"stored_{n}": _table(n) for n in ORDER if n != "site"}, "stored_counts": _counts, "q_reject": rejected}
 
 
 def stored_statements(loads: dict[str, str]) -> dict[str, str]:

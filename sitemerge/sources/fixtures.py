@@ -254,3 +254,22 @@ def derive_staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.lit(2).alias("SiteId"),
     )
     return {name: conform(df, name) for name, df in stg.items()}
+
+
+def raw_staging(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Site 1's customers and stock items as a system without the targets' widths sends
+    them: account numbers of a branch before the customer id, contact names with the
+    company's repeated, prices of a whole box."""
+    c = F.col
+    key, size = c("CustomerId"), F.coalesce(c("QuantityPerOuter"), F.lit(1))
+    long_name = F.concat(c("ContactName"), F.lit(" of "), F.expr("repeat(CustomerName, CAST(CustomerId % 4 AS INT))"))
+    box = lambda price: (c(price) * size).cast("decimal(12,2)")
+    return {
+        **stg,
+        "Stg_Customer": stg["Stg_Customer"].withColumns({
+            "CustomerId": F.when(key % 10 == 1, key + 100_000).otherwise(key),
+            "ContactName": F.when(key % 5 == 2, long_name).otherwise(c("ContactName"))}),
+        "Stg_StockItem": stg["Stg_StockItem"].withColumns({
+            "Cost": box("Cost"), "RetailPrice": F.when(c("StockItemId") % 3 == 0, box("RetailPrice")).otherwise(
+                c("RetailPrice").cast("decimal(12,2)"))}),
+    }

@@ -6,6 +6,7 @@ Layout under the root (any file system Spark reads)::
     _runs/run=<id>/start/...                             what the run began with
     _runs/run=<id>/table=<name>/...                      a finished table of the run
     _commits/seq=<n>/...                                 the whole ODS after a run
+    _rejects/run=<id>/table=<name>/rows, counts          what a run kept out, if it judges rows
 
 A record row names, for one table, the folders that hold each of its ranges.  A
 run writes only the ranges it changes; the record carries the others over by
@@ -34,12 +35,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .targets import TABLES, Table, contract, empty_state
+from .targets import Table, contract, empty_state
 
 RANGES = 64  # intervals of a table's keys when it is first published
 HASHED = 16  # ranges of keys that are no whole numbers
 MOST_FOLDERS = 8  # folders of a range beyond which the next run that adds to it rewrites it
 
+REPORT = "table_name string, statement string, key_text string, reasons array<string>, row_text string"
+
 RECORD = ("table string, width long, max_id long, contract string, "
           "pieces array<struct<key_range: string, folder: string, rows: long>>")
 
@@ -150,6 +153,35 @@ class Store:
                   f"_commits/seq={seq}")
         return Commit(seq, run, load_ts, dict(tables))
 
+    # ---- rejects
+
+    def put_rejects(self, run: str, name: str, report: DataFrame, counts: list[tuple]) -> None:
+        """What the run kept out of a table; a restart of the run writes it anew.
+        ``counts``: (statement, accepted, rejected)."""
+        at = f"{self.root}/_rejects/run={run}/table={name}"
+        report.write.mode("overwrite").parquet(f"{at}/rows")
+        frame = self.spark.createDataFrame(counts, "statement string, accepted long, rejected long")
+        frame.coalesce(1).write.mode("overwrite").json(f"{at}/counts")
+
+    def rejects(self, run: str) -> DataFrame:
+        """The rows that a run kept out, with reasons."""
+        return self._rejected(run, "rows", REPORT)
+
+    def reject_counts(self, run: str) -> DataFrame:
+        """Per table and insert: rows that fit and rows that don't."""
+        return self._rejected(run, "counts", "table string, statement string, accepted long, rejected long")
+
+    def _rejected(self, run: str, what: str, schema: str) -> DataFrame:
+        at = f"{self.root}/_rejects/run={run}"
+        read = self.spark.read.schema(schema).option("basePath", at)
+        try:
+            return (read.parquet if what == "rows" else read.json)(f"{at}/table=*/{what}").drop(
+                *(["table"] if what == "rows" else []))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)  # a run that did not judge
+
     # ---- rows
 
     def read(self, state: TableState | None, table: Table, ranges: set[str] | None = None) -> DataFrame:
