@@ -4,7 +4,10 @@ A large-star step links every larger neighbour of a vertex to the smallest of
 its neighbourhood, a small-star step every smaller one; repeated, they leave
 stars around each component's smallest vertex.  A step is a minimum per vertex
 (combined before the shuffle) and a join back, never a window over all links of
-a vertex.  Every round is written to the shared folder, which cuts lineage.
+a vertex.  The minima are written before they are joined: joined as they are, they
+would tie all links of a vertex to one task, while a join of two stored tables is
+one whose large partitions adaptive execution splits.  Every round is written to the
+shared folder, which cuts lineage.
 """
 
 from __future__ import annotations
@@ -29,10 +32,10 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     mark = _fingerprint(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least-neighbour")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = cut(large.where("u != v").distinct(), "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")), "least-smaller")
         small = large.join(low, "u").select(
             F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                               F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
