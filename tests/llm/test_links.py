@@ -43,15 +43,15 @@ def test_the_join_of_a_hub_is_split(spark, monkeypatch):
 
     def kept(df, label, plain=comp.cut):
         if label == "large-star":
-            df.write.format("noop").mode("overwrite").save()  # the final adaptive plan needs a run
-            rows = df.count()
-            plans.append((rows, df._jdf.queryExecution()))
-            df.collect()
-            plans[-1] = (rows, df._jdf.queryExecution().executedPlan().toString())
+            df.collect()  # the final adaptive plan needs a run
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
         return plain(df, label)
 
     monkeypatch.setattr(comp, "cut", kept)
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+    # many small scan tasks: a partition is split between the tasks that wrote it
+    conf = {"spark.sql.files.maxPartitionBytes": "32k", "spark.sql.files.openCostInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
@@ -61,12 +61,12 @@ def test_the_join_of_a_hub_is_split(spark, monkeypatch):
     try:
         n = 60_000
         links = spark.range(n, numPartitions=8).select(
-            F.when(F.col("id") % 10 < 9, F.lit(n + 5)).otherwise(F.col("id") * 7 % n).alias("u"), F.col("id").alias("v"))
-        assert components(links).where(f"component = 0 and vertex = {n + 5}").count() == 1
+            F.when(F.col("id") % 10 < 9, F.lit(-1)).otherwise(F.col("id") * 7 % n).alias("u"), F.col("id").alias("v"))
+        assert components(links).where("component = -1").count() >= 0.9 * n
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert "skew=true" in plans[0][1]
+    assert "skew=true" in plans[0]
 
 
 def brute(rows, threshold=0.93):
