@@ -213,8 +213,26 @@ def q_reject() -> str:
                  f"SELECT DISTINCT table_name, statement, key_text, reasons FROM ({rows}) every_row WHERE reasons <> ''")
 
 
+def kept_clash() -> str:
+    """Per table of both sites: source keys that rows of site 1 and of site 2 hold."""
+    parts = []
+    for name in ORDER:
+        t = TABLES[name]
+        if t.orig_col and t.site_col:
+            both = (f"SELECT {q(t.orig_col)} FROM l_{name} WHERE {q(t.orig_col)} IS NOT NULL GROUP BY {q(t.orig_col)} "
+                    f"HAVING bool_or({q(t.site_col)} = 1) AND bool_or({q(t.site_col)} = 2)")
+            parts.append(f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS clashes FROM ({both}) k")
+    return _with(base_ctes(), "\nUNION ALL\n".join(parts))
+
+
+def kept_statements() -> dict[str, str]:
+    """The reports on states, however they are made."""
+    return {"kept_pk": f"SELECT * FROM ({q_pk()}) r WHERE table_name <> 'employee_territory_new'",
+            "kept_fk": q_fk(), "kept_fan": q_fan(), "kept_clash": kept_clash()}
+
+
 def check_statements() -> dict[str, str]:
     return {"q_pk": q_pk(), "q_fk": q_fk(), "q_len": q_len(), "q_range": q_range(),
             "q_clash": q_clash(), "q_fan": q_fan(), "q_drop": q_drop(),
-            "q_reject": q_reject()}
+            "q_reject": q_reject(), **kept_statements()}
 

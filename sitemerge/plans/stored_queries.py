@@ -2,7 +2,7 @@
 checkpoint folder, one run on it, and each table read back from its commit.
 
 The expected rows are those of the loads: the store changes where rows are written,
-not which."""
+not which.  The kept reports are made on the prior ODS and brought forward by the run."""
 
 from __future__ import annotations
 
@@ -18,16 +18,17 @@ from ..sources.fixtures import raw_staging
 from ..sources.store import Store
 from .fixture_state import PRIOR_TS
 from .incremental import publish_states, read_states, run_stored
+from .kept_checks import KeptChecks
 from .loads import DEFAULT_LOAD_TS, ORDER, Options
 from .pipeline import pipeline_counts
 from .queries import fixture
 
-_CACHE: dict[tuple, dict[str, DataFrame]] = {}
+_CACHE: dict[tuple, tuple[Store, dict[str, DataFrame]]] = {}
 _LOCK = threading.Lock()
 
 
-def states_after_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Every table after a run on the prior ODS, from the store; one run per session."""
+def _run(spark: SparkSession, sf_dir: str) -> tuple[Store, dict[str, DataFrame]]:
+    """The store and its tables after a run on the prior ODS; one run per session."""
     with _LOCK:
         key = (session_key(spark), sf_dir)
         if key not in _CACHE:
@@ -36,10 +37,25 @@ def states_after_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             store = Store(spark, root)
             publish_states(store, fx["prior"], "prior", PRIOR_TS)
             done = run_stored(spark, fx["stg"], store, DEFAULT_LOAD_TS, run_id="load")
-            _CACHE[key] = read_states(store, done.tables)
+            _CACHE[key] = store, read_states(store, done.tables)
         return _CACHE[key]
 
 
+def states_after_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Every table after a run on the prior ODS, from the store."""
+    return _run(spark, sf_dir)[1]
+
+
+def kept_reports(spark: SparkSession, sf_dir: str) -> KeptChecks:
+    """Key counts made on the prior ODS, then brought forward to the run's commit."""
+    store, _ = _run(spark, sf_dir)
+    kept = KeptChecks(store)
+    with _LOCK:
+        kept.refresh(store.commit_at(1))
+        kept.refresh()
+    return kept
+
+
 def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run on raw customers and stock items keeps out, with reasons; the prior
     ODS of the fixture is taken into a store before it."""
@@ -60,8 +76,13 @@ def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline_counts(fixture(spark, sf_dir)["prior"], after)
 
 
+def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: getattr(kept_reports(spark, sf_dir), name)()
+
+
 def stored_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**{f"stored_{n}": _table(n) for n in ORDER if n != "site"}, "stored_counts": _counts, "q_reject": rejected}
+    return {**{f"stored_{n}": _table(n) for n in ORDER if n != "site"}, "stored_counts": _counts, "q_reject": rejected,
+            **{f"kept_{r}": _report(r) for r in ("pk", "fk", "fan", "clash")}}
 
 
 def stored_statements(loads: dict[str, str]) -> dict[str, str]:

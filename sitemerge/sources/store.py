@@ -7,6 +7,7 @@ Layout under the root (any file system Spark reads)::
     _runs/run=<id>/table=<name>/...                      a finished table of the run
     _commits/seq=<n>/...                                 the whole ODS after a run
     _rejects/run=<id>/table=<name>/rows, counts          what a run kept out, if it judges rows
+    _kept, _kept_runs                                    key counts for the quality reports, if kept
 
 A record row names, for one table, the folders that hold each of its ranges.  A
 run writes only the ranges it changes; the record carries the others over by
@@ -98,6 +99,10 @@ class Commit:
     tables: dict[str, TableState] = field(default_factory=dict)
 
 
+def _commit(seq: int, rows: list) -> Commit:
+    return Commit(seq, rows[0]["run"], rows[0]["load_ts"], {r["table"]: TableState.of(r) for r in rows})
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str, ranges: int = RANGES):
         self.spark, self.root, self.target_ranges = spark, root.rstrip("/"), ranges
@@ -123,8 +128,14 @@ class Store:
         if not rows:
             return None
         last = max(r["seq"] for r in rows)
-        rows = [r for r in rows if r["seq"] == last]
-        return Commit(last, rows[0]["run"], rows[0]["load_ts"], {r["table"]: TableState.of(r) for r in rows})
+        return _commit(last, [r for r in rows if r["seq"] == last])
+
+    def commit_at(self, seq: int) -> Commit:
+        """The ODS after an earlier run."""
+        rows = self._get(f"{RECORD}, run string, load_ts string", f"_commits/seq={seq}")
+        if not rows:
+            raise StateError(f"no commit {seq}")
+        return _commit(seq, rows)
 
     def begin(self, run: str, load_ts: str, options: str) -> tuple[Commit | None, dict[str, TableState], str]:
         """(the commit the run builds on, its finished tables, its load stamp).
