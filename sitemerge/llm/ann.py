@@ -7,9 +7,10 @@ edges; greedy beam searches propose neighbours of every node, and robust
 pruning keeps an edge only if no kept neighbour is ``alpha`` times closer to its
 end, so diverse long edges stay.  The index, one row per shard, is written
 once.  Every block of queries then meets every shard's row, a beam search runs
-in each shard, and the shards' answers are merged per query.
+in each shard, and the shards' answers are merged per query.  A block holds as many
+queries as fit in ``query_values`` numbers, so that few copies of a shard's row are made.
 
-All beam searches of a block advance together, one numpy step for all.
+Beam searches advance together, ``query_rows`` of them by one numpy step.
 
 Defined results: vectors that are null, empty or zero or hold null or non-finite
 components, and rows with a null id, take no part; vectors of different length
@@ -33,7 +34,8 @@ from .common import cut
 @dataclass(frozen=True)
 class GraphParams:
     shard_rows: int = 4096  # expected nodes per shard
-    query_rows: int = 512  # expected queries per block
+    query_rows: int = 512  # queries searched at once
+    query_values: int = 1 << 21  # expected numbers in the vectors of a block of queries
     degree: int = 24
     beam_build: int = 48
     beam: int = 64
@@ -222,7 +224,8 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int, p: GraphPa
     """The ``k`` nearest found of every query: query_id, rank, vec_id, score."""
     q = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     q = q.where(usable(F.col("v")) & F.col("id").isNotNull()).distinct()
-    blocks = max(1, -(-q.count() // p.query_rows))
+    seen = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim")).first()
+    blocks = max(1, -(-seen["n"] // max(p.query_rows, p.query_values // (seen["dim"] or 1))))
     block = F.pmod(F.xxhash64(F.lit(1), "id", "v"), F.lit(blocks)).cast("int")
     asked = (q.select(F.size("v").alias("dim"), block.alias("block"), F.struct("id", "v").alias("q"))
              .groupBy("dim", "block").agg(F.collect_list("q").alias("queries"))
@@ -239,16 +242,18 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int, p: GraphPa
             entries = np.frombuffer(t["entries"][r].as_py(), np.int64)
             asked = t["queries"][r].values
             qs, qids = _matrix(asked.field("v")), asked.field("id").to_pylist()
-            found, _ = beam_search(unit_rows(x).astype(np.float32), edges, entries,
-                                   unit_rows(qs).astype(np.float32), min(p.beam, len(x)))
-            for qid, vector, nodes in zip(qids, qs, found):
-                nodes = nodes[nodes >= 0]
-                best = sorted((-s, i) for s, node in zip(cosines(x[nodes], vector).tolist(), nodes.tolist())
-                              for i in ids[node] if i != qid)[:k]
-                for s, i in best:
-                    out[0].append(qid)
-                    out[1].append(i)
-                    out[2].append(-s)
+            units, asking = unit_rows(x).astype(np.float32), unit_rows(qs).astype(np.float32)
+            for a in range(0, len(qs), p.query_rows):
+                some = slice(a, a + p.query_rows)
+                found, _ = beam_search(units, edges, entries, asking[some], min(p.beam, len(x)))
+                for qid, vector, nodes in zip(qids[some], qs[some], found):
+                    nodes = nodes[nodes >= 0]
+                    best = sorted((-s, i) for s, node in zip(cosines(x[nodes], vector).tolist(), nodes.tolist())
+                                  for i in ids[node] if i != qid)[:k]
+                    for s, i in best:
+                        out[0].append(qid)
+                        out[1].append(i)
+                        out[2].append(-s)
         return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()),
                          "score": pa.array(out[2], pa.float64())})
 

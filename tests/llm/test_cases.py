@@ -177,6 +177,17 @@ def test_nearest_cases(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_nearest_blocks_of_any_size_agree(spark):
+    """Queries in one block, in several and searched a few at a time get the same answers."""
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rng.normal(size=(300, 8)).tolist())],
+                               "vec_id long, embedding array<double>")
+    asked = df.where("vec_id % 10 = 0")
+    got = [ann.nearest(df, asked, k=3, params=ann.GraphParams(shard_rows=100, query_rows=rows, query_values=values))
+           .orderBy("query_id", "rank").collect() for rows, values in ((512, 1 << 21), (7, 1 << 21), (7, 1))]
+    assert len(got[0]) == 90 and got[0] == got[1] == got[2]
+
+
 def test_nearest_among_tight_copies(spark):
     rng = np.random.default_rng(5)
     seed = rng.normal(size=16)
