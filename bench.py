@@ -34,7 +34,7 @@ from pyspark.sql import Window  # noqa: E402
 
 from sitemerge.operators.keys import assign_ids  # noqa: E402
 from sitemerge.plans.incremental import run_stored  # noqa: E402
-from sitemerge.plans.loads import Options  # noqa: E402
+from sitemerge.plans.loads import ORDER, Options  # noqa: E402
 from sitemerge.plans.pipeline import run_pipeline  # noqa: E402
 from sitemerge.plans.queries import after_load, fixture  # noqa: E402
 from sitemerge.session import ensure_checkpoint_dir, local_session, materialize  # noqa: E402
@@ -93,7 +93,7 @@ def main() -> None:
         spark, batch, store, "2024-11-26 00:00:00", strict, tables=["order_detail"]))
     lines = {w: set(c.tables["order_detail"].pieces) for w, c in (("first", done), ("again", again), ("batch", some))}
 
-    fx, times["prior_state"] = timed(lambda: fixture(spark, sf_dir))
+    fx, times["prior_state"] = timed(lambda: fixture(spark, sf_dir)["prior"].of(ORDER))
     for name in ["site", "region", "address", "customer", "employee", "supplier",
                  "territory", "employee_territory", "product", "order", "order_detail"]:
         df, sec = timed(lambda n=name: after_load(spark, sf_dir, n))
