@@ -30,6 +30,7 @@ repeated or not; an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from dataclasses import dataclass, replace
 from itertools import combinations
 
@@ -202,15 +203,27 @@ def fit_scales(x: np.ndarray, n: np.ndarray, langs: list[str]) -> tuple[np.ndarr
 LETTER = r"\p{L}"
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Features in single precision, compressed: most are zeros or few different values."""
+    return zlib.compress(x.astype(np.float32).tobytes(), 1)
+
+
+def unpacked(rows: list[bytes]) -> np.ndarray:
+    out = np.empty((len(rows), DIM), np.float32)
+    for i, row in enumerate(rows):
+        out[i] = np.frombuffer(zlib.decompress(row), np.float32)
+    return out
+
+
 def _sampled(batches, fits: bool):
     for batch in batches:
         for part in text_slices(batch, "text"):
             texts = part.column("text").to_pylist()
-            x = [features(t).astype(np.float32).tobytes() for t in texts]
+            x = [packed(features(t)) for t in texts]
             out = {"lang": part.column("lang"), "x": pa.array(x, pa.binary())}
             if fits:
                 texts = [letters(t) for t in texts]
-                out["own"] = pa.array([features(t).astype(np.float32).tobytes() for t in texts], pa.binary())
+                out["own"] = pa.array([packed(features(t)) for t in texts], pa.binary())
                 out["n"] = pa.array([grams(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_pydict(out)
 
@@ -241,13 +254,12 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
     rows = (texts.dropDuplicates(["lang", "key"]).select("lang", "text")
             .mapInArrow(lambda it: giving_back(_sampled(it, fits)),
                         "lang string, x binary" + ", own binary, n long" * fits).collect())
-    rows = sorted(((r["lang"], bytes(r["x"]), *((bytes(r["own"]), r["n"]) if fits else ())) for r in rows),
-                  key=lambda r: (r[0], hashlib.sha256(r[1]).digest()))
-    x = np.stack([np.frombuffer(r[1], np.float32) for r in rows])
-    model = fit_model(x, [r[0] for r in rows])
+    # rows stay compressed on the driver; one matrix of features is there at a time
+    rows = sorted(rows, key=lambda r: (r["lang"], hashlib.sha256(zlib.decompress(r["x"])).digest()))
+    langs = [r["lang"] for r in rows]
+    model = fit_model(unpacked([r["x"] for r in rows]), langs)
     if fits:
-        own = np.stack([np.frombuffer(r[2], np.float32) for r in rows])
-        logs, scale = fit_scales(own, np.array([r[3] for r in rows]), [r[0] for r in rows])
+        logs, scale = fit_scales(unpacked([r["own"] for r in rows]), np.array([r["n"] for r in rows]), langs)
         model = replace(model, logs=logs, scale=scale)
     return model
 

@@ -241,6 +241,18 @@ def test_language_cases(spark):
     assert langid.predict(df.limit(0), model).count() == 0
 
 
+def test_language_sample_reaches_the_driver_compressed():
+    import pyarrow as pa
+
+    texts = ["the quick brown fox jumps over the lazy dog " * 20, "x", "el perro corre por la calle " * 30]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "en", "es"], "text": texts})
+    out = pa.Table.from_batches(langid._sampled([batch], True))
+    for name, made in (("x", texts), ("own", [langid.letters(t) for t in texts])):
+        rows = out[name].to_pylist()
+        assert max(map(len, rows)) < langid.DIM  # a quarter of the plain numbers
+        assert (langid.unpacked(rows) == np.stack([langid.features(t) for t in made]).astype(np.float32)).all()
+
+
 def test_minhash_cases(spark):
     near = SAME.replace("ten", "ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen")
     long = " ".join(f"w{i}" for i in range(60))
