@@ -32,6 +32,16 @@ def test_assign_ids_has_no_single_partition_exchange(spark):
     assert "SinglePartition" not in plan
 
 
+def test_ids_are_a_projection_of_the_written_rows(spark):
+    df = spark.range(1000).withColumn("v", F.col("id") % 7)
+    got = assign_ids(df, "nid", ["v", "id"], partitions=4)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert sorted(r[0] for r in got.select("nid").collect()) == list(range(1, 1001))
+    none = assign_ids(df.where("v > 9"), "nid", ["v", "id"], partitions=4)
+    assert none.columns == got.columns and none.count() == 0
+
+
 def test_null_key_is_always_new(spark):
     src = spark.createDataFrame([(None, "a"), (None, "a"), (1, "b")], "k int, v string")
     tgt = spark.createDataFrame([(None,), (1,)], "k int")

@@ -25,6 +25,18 @@ def test_prior_tables_are_built_when_read(spark):
     assert list(prior) == ORDER
 
 
+def test_prior_rows_are_written_once(spark, monkeypatch):
+    from sitemerge.operators import keys
+    from sitemerge.plans import fixture_state
+
+    written = []
+    for module in (keys, fixture_state):
+        monkeypatch.setattr(module, "materialize", lambda df, label, w=module.materialize: written.append(label) or w(df, label))
+    prior = PriorStates(spark, derive_staging(spark, SMALL))
+    assert prior["supplier"].count() > 0 and prior["site"].count() == 1
+    assert sorted(written) == ["ids-ODS_address_id", "ids-ODS_supplier_id", "prior-site"]
+
+
 def test_tables_with_those_they_read():
     assert with_reads(["region"]) == ["region"]
     assert with_reads(["product", "customer"]) == ["address", "customer", "supplier", "product"]
